@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import sys
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from millrace import functions as fn  # noqa: E402
 from millrace import vocab  # noqa: E402
 from millrace.operators import checks, dedup, references  # noqa: E402
 from millrace.operators.profile import profile, profile_all  # noqa: E402
-from millrace.operators.quarantine import number_rows  # noqa: E402
+from millrace.operators.quarantine import number_groups, number_rows  # noqa: E402
 from millrace.plans import rules, silver  # noqa: E402
 from millrace.plans.gold import gold_table, orders_by_status  # noqa: E402
 from millrace.plans.migration import BAD_RECORDS  # noqa: E402
@@ -29,44 +29,82 @@ REJECTED_AT = legacy_views.INGESTED_AT
 DERIVED_FROM = {"customers": "customer", "orders": "orders", "transactions": "lineitem", "products": "part"}
 
 
+class Tables(Mapping):
+    """Named DataFrames, each built on first use."""
+
+    def __init__(self, makers: dict):
+        self._makers, self._made = makers, {}
+
+    def __getitem__(self, name):
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self):
+        return len(self._makers)
+
+
 class Layers:
-    """The layers over one scale folder.
+    """The layers over one scale folder, each built when first asked for.
 
-    Lazy by default: a query over one table is one plan. `stored()` writes the silver
-    tables first, for queries that read them several times.
+    A query over one table is one plan. `stored()` is for queries that read a silver table
+    several times.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.bronze = legacy_views.all_views(spark, sf_dir)
+        self.bronze = Tables(
+            {s: lambda view=view: view(spark, sf_dir) for s, view in legacy_views.VIEWS.items()}
+        )
         bronze = self.bronze
-        orders = silver.silver_orders(bronze["orders"], silver.customer_keys(bronze["customers"]))
-        self.silver = {
-            "customers": silver.silver_customers(bronze["customers"]),
-            "orders": orders,
-            "transactions": silver.silver_transactions(bronze["transactions"], orders),
-            "products": silver.silver_products(bronze["products"]),
-        }
+        self.silver = Tables(
+            {
+                "customers": lambda: silver.silver_customers(bronze["customers"]),
+                "orders": lambda: silver.silver_orders(
+                    bronze["orders"], silver.customer_keys(bronze["customers"])
+                ),
+                "transactions": lambda: silver.silver_transactions(
+                    bronze["transactions"], self.silver["orders"]
+                ),
+                "products": lambda: silver.silver_products(bronze["products"]),
+            }
+        )
+        self.gold = Tables(
+            {
+                s: lambda s=s, name=name: gold_table(name, self.silver[s])
+                for s, name in vocab.GOLD_TABLES.items()
+            }
+        )
 
     def stored(self) -> Layers:
-        bronze, out = self.bronze, {}
-        out["customers"] = materialize(self.silver["customers"], "silver_customers")
-        out["products"] = materialize(self.silver["products"], "silver_products")
-        orders = silver.silver_orders(bronze["orders"], out["customers"], unique_customers=True)
-        out["orders"] = materialize(orders, "silver_orders")
-        transactions = silver.silver_transactions(bronze["transactions"], out["orders"])
-        out["transactions"] = materialize(transactions, "silver_transactions")
-        self.silver = out
+        """Silver tables are written when first asked for, parents before children."""
+        bronze, lazy = self.bronze, self.silver
+        self.silver = Tables(
+            {
+                "customers": lambda: materialize(lazy["customers"], "silver_customers"),
+                "orders": lambda: materialize(
+                    silver.silver_orders(
+                        bronze["orders"], self.silver["customers"], unique_customers=True
+                    ),
+                    "silver_orders",
+                ),
+                "transactions": lambda: materialize(
+                    silver.silver_transactions(bronze["transactions"], self.silver["orders"]),
+                    "silver_transactions",
+                ),
+                "products": lambda: materialize(lazy["products"], "silver_products"),
+            }
+        )
         return self
 
     @property
-    def gold(self) -> dict:
-        return {s: gold_table(name, self.silver[s]) for s, name in vocab.GOLD_TABLES.items()}
-
-    @property
-    def declared(self) -> dict:
-        named = {f"silver_{s}": df for s, df in self.silver.items()}
-        return named | {vocab.GOLD_TABLES[s]: df for s, df in self.gold.items()}
+    def declared(self) -> Mapping:
+        """Silver and gold tables under their published names."""
+        named = {f"silver_{s}": lambda s=s: self.silver[s] for s in self.silver}
+        return Tables(named | {vocab.GOLD_TABLES[s]: lambda s=s: self.gold[s] for s in self.gold})
 
     def expected(self) -> DataFrame:
         """Source sizes: rows of the raw tables, so sources with repeated rows do not match."""
@@ -205,6 +243,21 @@ def _quarantine_ids(spark, sf):
     return number_rows(found, ["rule", "raw_record"]).select(*BAD_RECORDS)
 
 
+def _quarantine_id_ranges(spark, sf):
+    """First and last id and rows per rule, numbered where the rows lie."""
+    found = rules.quarantine_all(legacy_views.all_views(spark, sf), REJECTED_AT)
+    return (
+        number_groups(found, "rule")
+        .groupBy("rejection_reason")
+        .agg(
+            F.min("id").alias("first_id"),
+            F.max("id").alias("last_id"),
+            F.count_distinct("id").alias("ids"),
+            F.count("*").alias("rows"),
+        )
+    )
+
+
 def _date_violations(broken: Callable[[], Column]):
     def run(spark, sf):
         orders = _bronze("orders")(spark, sf).where(broken())
@@ -278,6 +331,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             legacy_views.all_views(spark, sf)
         ),
         "quarantine_ids": _quarantine_ids,
+        "quarantine_id_ranges": _quarantine_id_ranges,
         "date_shape_violations": _date_violations(rules.order_date_misshapen),
         "date_validity_violations": _date_violations(_date_invalid),
         "parse_dates_customers": _shown(

@@ -1,6 +1,6 @@
 """Column profiles."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace import vocab
@@ -20,37 +20,43 @@ def profile(df: DataFrame, exclude=vocab.LINEAGE_COLUMNS) -> DataFrame:
     cells = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
     pairs = cells.unpivot([], columns, "column", "value").groupBy("column", "value")
     counted = pairs.agg(F.count("*").alias("n"))
-    stats = counted.groupBy("column").agg(
+    # A row of zero cells per column, so that an empty table still lists its columns.
+    listed = df.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"),
+        F.lit(None).cast("string").alias("value"),
+        F.lit(0).cast("bigint").alias("n"),
+    )
+    stats = counted.union(listed).groupBy("column").agg(
         F.sum("n").alias("total"),
         F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
         F.count("value").alias("distinct"),
     )
-    smallest = Window.partitionBy("column").orderBy("value")
+    # Takes the counts along and sorts NULL last instead of dropping it, to read the same
+    # shuffle as `stats`.
+    smallest = Window.partitionBy("column").orderBy(F.col("value").asc_nulls_last())
+    placed = counted.withColumn("place", F.row_number().over(smallest))
+    kept = F.sort_array(F.collect_list(F.struct("value", "n")))
     samples = (
-        counted.where("value is not null")
-        .withColumn("place", F.row_number().over(smallest))
-        .where(F.col("place") <= SAMPLES)
+        placed.where(F.col("place") <= SAMPLES)
         .groupBy("column")
-        .agg(F.sort_array(F.collect_list("value")).alias("samples"))
+        .agg(F.filter(kept["value"], lambda v: v.isNotNull()).alias("samples"))
     )
-    # One row per column, so that an empty table still lists its columns.
-    listed = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-    total, nulls = F.coalesce("total", F.lit(0)), F.coalesce("nulls", F.lit(0))
-    share = F.when(total > 0, F.round(100.0 * nulls / total, 1)).otherwise(F.lit(0.0))
-    return (
-        listed.join(stats, "column", "left")
-        .join(samples, "column", "left")
-        .select(
-            "column",
-            total.cast("bigint").alias("total"),
-            nulls.cast("bigint").alias("nulls"),
-            share.alias("null_pct"),
-            F.coalesce("distinct", F.lit(0)).cast("bigint").alias("distinct"),
-            F.coalesce("samples", F.array().cast("array<string>")).alias("samples"),
-        )
+    # At most five values per column, so small whatever the table's size.
+    return stats.join(F.broadcast(samples), "column", "left").select(
+        "column",
+        "total",
+        "nulls",
+        _percentage(F.col("nulls"), F.col("total")).alias("null_pct"),
+        "distinct",
+        F.coalesce("samples", F.array().cast("array<string>")).alias("samples"),
     )
 
 
+def _percentage(part: Column, total: Column) -> Column:
+    """One decimal, half up; 0 of an empty table."""
+    return F.when(total > 0, F.round(100.0 * part / total, 1)).otherwise(F.lit(0.0))
+
+
 def approximate_profile(df: DataFrame, exclude=vocab.LINEAGE_COLUMNS, rsd: float = 0.02) -> DataFrame:
     """The same counts with an estimated `distinct` and no samples, in one pass.
 
@@ -67,9 +73,7 @@ def approximate_profile(df: DataFrame, exclude=vocab.LINEAGE_COLUMNS, rsd: float
             F.lit(c).alias("column"),
             F.col("total"),
             F.col(f"n{i}").alias("nulls"),
-            F.when(F.col("total") > 0, F.round(100.0 * F.col(f"n{i}") / F.col("total"), 1))
-            .otherwise(F.lit(0.0))
-            .alias("null_pct"),
+            _percentage(F.col(f"n{i}"), F.col("total")).alias("null_pct"),
             F.col(f"d{i}").alias("distinct"),
         )
         for i, c in enumerate(columns)

@@ -25,10 +25,14 @@ def broken_rules(df: DataFrame, rules, source_file: str) -> DataFrame:
     All rules are evaluated in one scan. `_first` marks one row per record, so records can
     be counted next to violations.
     """
-    hits = F.array_compact(F.array(*[F.when(r.broken(), F.lit(r.number)) for r in rules]))
+    hits = F.array(*[F.when(r.broken(), F.lit(r.number)) for r in rules])
     reasons = F.create_map(*[F.lit(x) for r in rules for x in (r.number, r.reason)])
+    # Rules are evaluated in a projection of their own, as a generator does not take part in
+    # codegen. NULLs are dropped inside the generator: given a bare column, Catalyst would
+    # add a filter on its size and evaluate every rule a second time below.
     return (
-        df.select("*", F.posexplode(hits).alias("_position", "_rule"))
+        df.withColumn("_hits", hits)
+        .select(*df.columns, F.posexplode(F.array_compact("_hits")).alias("_position", "_rule"))
         .withColumn("_file", F.lit(source_file))
         .withColumn("_reason", F.element_at(reasons, F.col("_rule")))
         .withColumn("_first", F.col("_position") == 0)
@@ -76,34 +80,80 @@ def summarize(broken: DataFrame, rules_by_file: dict) -> DataFrame:
     )
 
 
+# monotonically_increasing_id: partition number in the upper bits, position in the lower 33.
+_POSITION_BITS = 33
+
+
+def _part_of(slot) -> Column:
+    return F.shiftright(slot, _POSITION_BITS).cast("int")
+
+
+def _rows_before(order):
+    return Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
+
 def number_rows(df: DataFrame, order, name: str = "numbered") -> DataFrame:
-    """Add `id` 1..N in the given order, without a one-partition window over the rows.
+    """Add `id` 1..N in the given order: the same ids for the same rows on any cluster.
 
     Rows are range-partitioned and sorted, with each row's input position as last key so
     that equal rows, however many, spread over partitions. The result is written before
     positions are counted, so a retry cannot renumber it. Only one count per written
     partition is then gathered, to give each partition its offset.
+
+    All rows are shuffled once. Where ids need not be reproducible, `number_groups` moves
+    no row.
     """
     placed = (
         df.withColumn("_origin", F.monotonically_increasing_id())
         .repartitionByRange(*order, "_origin")
         .sortWithinPartitions(*order, "_origin")
         .drop("_origin")
-        # Partition number in the upper bits, position within it in the lower 33.
         .withColumn("_slot", F.monotonically_increasing_id())
     )
     stored = materialize(placed, name)
-    part = F.shiftright("_slot", 33).cast("int")
-    position = F.col("_slot").bitwiseAND((1 << 33) - 1)
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    part = _part_of("_slot")
+    position = F.col("_slot").bitwiseAND((1 << _POSITION_BITS) - 1)
+    # One row per partition of the write, bounded by the number of shuffle partitions.
     offsets = (
         stored.groupBy(part.alias("_part"))
         .agg(F.count("*").alias("n"))
-        .select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
+        .select("_part", F.coalesce(F.sum("n").over(_rows_before(["_part"])), F.lit(0)).alias("_offset"))
     )
-    # One row per partition of the write, bounded by the number of shuffle partitions.
     return (
         stored.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
         .select((F.col("_offset") + position + 1).alias("id"), *df.columns)
     )
+
+
+def number_groups(df: DataFrame, group: str, name: str = "numbered") -> DataFrame:
+    """Add `id` 1..N, groups in order and rows within a group as they lie in storage.
+
+    `group` has a small fixed set of values, such as the rule number. No row is shuffled:
+    each partition is sorted by group where it is and written, and the offsets come from
+    one count per (group, partition). That table is joined without a hint, so it is
+    broadcast only when small.
+    """
+    placed = df.sortWithinPartitions(group).withColumn("_slot", F.monotonically_increasing_id())
+    stored = materialize(placed, name).withColumn("_part", _part_of("_slot"))
+    runs = stored.groupBy(group, "_part").agg(
+        F.count("*").alias("n"), F.min("_slot").alias("_first")
+    )
+    # One row per group, and running sums within a group over its partitions.
+    groups = (
+        runs.groupBy(group)
+        .agg(F.sum("n").alias("n"))
+        .select(group, F.coalesce(F.sum("n").over(_rows_before([group])), F.lit(0)).alias("_base"))
+    )
+    within = Window.partitionBy(group).orderBy("_part")
+    before = within.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = runs.join(groups, group).select(
+        group,
+        "_part",
+        (F.col("_base") + F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("_first")).alias(
+            "_offset"
+        ),
+    )
+    return stored.join(offsets, [group, "_part"]).select(
+        (F.col("_offset") + F.col("_slot") + 1).alias("id"), *df.columns
+    )

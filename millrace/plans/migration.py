@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace import vocab
 from millrace.operators import checks
 from millrace.operators.profile import profile_all
-from millrace.operators.quarantine import number_rows
+from millrace.operators.quarantine import number_groups
 from millrace.plans import rules, silver
 from millrace.plans.gold import gold_table
 from millrace.sources.landing import land_all, new_batch
@@ -37,9 +37,9 @@ def build_bronze(sources: dict, root: str, prefix: str = "") -> dict:
 
 
 def build_bad_records(bronze: dict, root: str, rejected_at: str, prefix: str = "") -> DataFrame:
-    """All violations, numbered 1..N in rule order, one folder per source file."""
+    """All violations, numbered 1..N in rule order without a shuffle, one folder per file."""
     found = rules.quarantine_all(bronze, rejected_at)
-    numbered = number_rows(found, ["rule", "raw_record"], "bad-records").select(*BAD_RECORDS)
+    numbered = number_groups(found, "rule", "bad-records").select(*BAD_RECORDS)
     return publish(numbered, f"{prefix}bronze.bad_records", root, ["source_file"])
 
 

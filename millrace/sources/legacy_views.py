@@ -5,8 +5,7 @@ dirty by key so that SQL can state the same text: mixed date formats, currency s
 inconsistent spellings, null and non-numeric keys, orphans and repeated rows.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from millrace import vocab
 from millrace.sources.landing import with_lineage
@@ -15,160 +14,120 @@ INGESTED_AT = "2024-01-01T00:00:00+00:00"
 BATCH_ID = "00000000-0000-4000-8000-000000000001"
 
 
-def _pick(k: Column, values) -> Column:
-    """values[k % n]; `None` stays NULL."""
-    out = None
-    for i, value in enumerate(values):
-        if value is None:
-            continue
-        value = value if isinstance(value, Column) else F.lit(value)
-        hit = k % len(values) == i
-        out = F.when(hit, value) if out is None else out.when(hit, value)
-    return out
+def _scan(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """A table, spread over all cores by key when its files are few.
 
+    A file with one row group is read by one task, and all row-wise work after it would
+    stay in that task. Tables with at least one split per core are left as they are.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
-def _money(c: str) -> Column:
-    return F.col(c).cast("decimal(18,2)").cast("string")
 
+def _again(condition: str) -> str:
+    """A column `copy`: rows where the condition holds appear twice, the second time true."""
+    return f"explode(IF({condition}, array(false, true), array(false))) AS copy"
 
-def _text(k: Column) -> Column:
-    return k.cast("string")
 
-
-def _float_text(k: Column) -> Column:
-    return F.concat(_text(k), F.lit(".0"))
-
-
-def _repeat(df: DataFrame, again: Column) -> DataFrame:
-    """Rows where `again` holds appear twice, the second time with `copy` true."""
-    once = F.array(F.lit(False))
-    twice = F.array(F.lit(False), F.lit(True))
-    return df.select("*", F.explode(F.when(again, twice).otherwise(once)).alias("copy"))
-
-
-def _bronze(df: DataFrame, source: str, columns: dict) -> DataFrame:
-    named = df.select(*[columns[c].alias(c) for c in vocab.SOURCE_COLUMNS[source]])
-    return with_lineage(named, INGESTED_AT, BATCH_ID, vocab.SOURCE_FILES[source])
+def _bronze(df: DataFrame, source: str, **columns: str) -> DataFrame:
+    text = df.selectExpr(*[f"{columns[c]} AS {c}" for c in vocab.SOURCE_COLUMNS[source]])
+    return with_lineage(text, INGESTED_AT, BATCH_ID, vocab.SOURCE_FILES[source])
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    name, segment = F.col("c_name"), F.col("c_mktsegment")
-    day = F.date_add(F.lit("1990-01-01").cast("date"), (k % 5000).cast("int"))
-    rows = _repeat(spark.read.parquet(f"{sf_dir}/customer.parquet"), k % 50 == 0)
+    rows = _scan(spark, f"{sf_dir}/customer.parquet", "c_custkey").selectExpr(
+        "*",
+        "c_custkey AS k",
+        "date_add(DATE '1990-01-01', CAST(c_custkey % 5000 AS INT)) AS d",
+        _again("c_custkey % 50 = 0"),
+    )
     return _bronze(
         rows,
         "customers",
-        {
-            "customer_id": F.when(F.col("copy"), _text(k))
-            .when(k % 21 == 3, None)
-            .when(k % 97 == 5, "abc")
-            .otherwise(_float_text(k)),
-            "full_name": F.when(k % 13 == 0, segment).otherwise(F.concat(name, F.lit(" "), segment)),
-            "email": F.when(k % 10 == 1, None)
-            .when(k % 10 == 2, F.concat(F.lit("  "), F.upper(name), F.lit("@X.COM ")))
-            .otherwise(F.concat(name, F.lit("@x.com"))),
-            "phone_number": F.concat(
-                F.lit(" +27-"), F.col("c_nationkey").cast("string"), F.lit("-"), _text(k)
-            ),
-            "signup_date": _pick(
-                k,
-                [
-                    F.date_format(day, "yyyy-MM-dd"),
-                    F.date_format(day, "dd/MM/yyyy"),
-                    F.date_format(day, "MM-dd-yyyy"),
-                    F.date_format(day, "yyyy/MM/dd"),
-                    "invalid_date",
-                    None,
-                    "2023-13-01",
-                ],
-            ),
-            "status": _pick(k, ["Act", "active", " Active ", "inactive", "ACTIVE", None, "dormant"]),
-        },
+        customer_id="""CASE WHEN copy THEN CAST(k AS STRING) WHEN k % 21 = 3 THEN NULL
+            WHEN k % 97 = 5 THEN 'abc' ELSE k || '.0' END""",
+        full_name="IF(k % 13 = 0, c_mktsegment, c_name || ' ' || c_mktsegment)",
+        email="""CASE k % 10 WHEN 1 THEN NULL WHEN 2 THEN '  ' || upper(c_name) || '@X.COM '
+            ELSE c_name || '@x.com' END""",
+        phone_number="' +27-' || c_nationkey || '-' || k",
+        signup_date="""CASE k % 7 WHEN 0 THEN date_format(d, 'yyyy-MM-dd')
+            WHEN 1 THEN date_format(d, 'dd/MM/yyyy') WHEN 2 THEN date_format(d, 'MM-dd-yyyy')
+            WHEN 3 THEN date_format(d, 'yyyy/MM/dd') WHEN 4 THEN 'invalid_date'
+            WHEN 6 THEN '2023-13-01' END""",
+        status="""CASE k % 7 WHEN 0 THEN 'Act' WHEN 1 THEN 'active' WHEN 2 THEN ' Active '
+            WHEN 3 THEN 'inactive' WHEN 4 THEN 'ACTIVE' WHEN 6 THEN 'dormant' END""",
     )
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, day, price = F.col("o_orderkey"), F.col("o_orderdate"), _money("o_totalprice")
-    rows = _repeat(spark.read.parquet(f"{sf_dir}/orders.parquet"), k % 500 == 1)
+    rows = _scan(spark, f"{sf_dir}/orders.parquet", "o_orderkey").selectExpr(
+        "*",
+        "o_orderkey AS k",
+        "o_orderdate AS d",
+        "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) AS m",
+        _again("o_orderkey % 500 = 1"),
+    )
     return _bronze(
         rows,
         "orders",
-        {
-            "order_id": F.when(k % 20 != 7, _float_text(k)),
-            "customer_id": F.when(k % 11 == 4, None)
-            .when(k % 17 == 0, "99999999.0")
-            .otherwise(_float_text(F.col("o_custkey"))),
-            "order_date": _pick(
-                k,
-                [
-                    F.date_format(day, "yyyy-MM-dd"),
-                    F.date_format(day, "yyyy/MM/dd"),
-                    F.date_format(day, "dd/MM/yyyy"),
-                    "invalid_date",
-                    None,
-                    F.date_format(day, "MM/dd/yyyy"),
-                    "2023-02-30",
-                ],
-            ),
-            "total_amount": _pick(
-                k,
-                [
-                    F.concat(F.lit("R "), price),
-                    F.concat(F.lit("R"), F.replace(price, F.lit("."), F.lit(","))),
-                    price,
-                    "R -200",
-                    None,
-                ],
-            ),
-            "status": _pick(
-                k, ["CANCELLED", "Done", "Completed", " completed ", "P", None, "canceled", "lost"]
-            ),
-            "channel": _pick(k, ["App", "store ", "WEB", None]),
-        },
+        order_id="IF(k % 20 = 7, NULL, k || '.0')",
+        customer_id="""CASE WHEN k % 11 = 4 THEN NULL WHEN k % 17 = 0 THEN '99999999.0'
+            ELSE o_custkey || '.0' END""",
+        order_date="""CASE k % 7 WHEN 0 THEN date_format(d, 'yyyy-MM-dd')
+            WHEN 1 THEN date_format(d, 'yyyy/MM/dd') WHEN 2 THEN date_format(d, 'dd/MM/yyyy')
+            WHEN 3 THEN 'invalid_date' WHEN 5 THEN date_format(d, 'MM/dd/yyyy')
+            WHEN 6 THEN '2023-02-30' END""",
+        total_amount="""CASE k % 5 WHEN 0 THEN 'R ' || m WHEN 1 THEN 'R' || replace(m, '.', ',')
+            WHEN 2 THEN m WHEN 3 THEN 'R -200' END""",
+        status="""CASE k % 8 WHEN 0 THEN 'CANCELLED' WHEN 1 THEN 'Done' WHEN 2 THEN 'Completed'
+            WHEN 3 THEN ' completed ' WHEN 4 THEN 'P' WHEN 6 THEN 'canceled' WHEN 7 THEN 'lost'
+            END""",
+        channel="CASE k % 4 WHEN 0 THEN 'App' WHEN 1 THEN 'store ' WHEN 2 THEN 'WEB' END",
     )
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    day = F.col("l_shipdate")
+    rows = _scan(spark, f"{sf_dir}/lineitem.parquet", "l_orderkey").selectExpr(
+        "*", "l_orderkey * 10 + l_linenumber AS k", "l_shipdate AS d"
+    )
     return _bronze(
-        spark.read.parquet(f"{sf_dir}/lineitem.parquet"),
+        rows,
         "transactions",
-        {
-            "transaction_id": F.when(k % 21 != 0, _float_text(k)),
-            "order_id": F.when(k % 40 == 1, "99999999").otherwise(_text(F.col("l_orderkey"))),
-            "payment_method": _pick(
-                k, ["Card", "card", "Cash", "CASH", "Crypto", None, "eft", "debit card"]
-            ),
-            "transaction_amount": _money("l_extendedprice"),
-            "transaction_date": _pick(
-                k, [F.date_format(day, "yyyy-MM-dd"), F.date_format(day, "dd/MM/yyyy"), None, "2023-13-01"]
-            ),
-            "success_flag": _pick(k, ["Y", "N", "maybe", None, "1", "false"]),
-        },
+        transaction_id="IF(k % 21 = 0, NULL, k || '.0')",
+        order_id="IF(k % 40 = 1, '99999999', CAST(l_orderkey AS STRING))",
+        payment_method="""CASE k % 8 WHEN 0 THEN 'Card' WHEN 1 THEN 'card' WHEN 2 THEN 'Cash'
+            WHEN 3 THEN 'CASH' WHEN 4 THEN 'Crypto' WHEN 6 THEN 'eft' WHEN 7 THEN 'debit card'
+            END""",
+        transaction_amount="CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)",
+        transaction_date="""CASE k % 4 WHEN 0 THEN date_format(d, 'yyyy-MM-dd')
+            WHEN 1 THEN date_format(d, 'dd/MM/yyyy') WHEN 3 THEN '2023-13-01' END""",
+        success_flag="""CASE k % 6 WHEN 0 THEN 'Y' WHEN 1 THEN 'N' WHEN 2 THEN 'maybe'
+            WHEN 4 THEN '1' WHEN 5 THEN 'false' END""",
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, price = F.col("p_partkey"), _money("p_retailprice")
-    rows = _repeat(spark.read.parquet(f"{sf_dir}/part.parquet"), k % 50 == 0)
+    rows = _scan(spark, f"{sf_dir}/part.parquet", "p_partkey").selectExpr(
+        "*",
+        "p_partkey AS k",
+        "CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS STRING) AS m",
+        _again("p_partkey % 50 = 0"),
+    )
     return _bronze(
         rows,
         "products",
-        {
-            "product_id": F.when(F.col("copy"), _text(k))
-            .when(k % 21 == 0, None)
-            .when(k % 101 == 7, F.concat(F.lit("x"), _text(k)))
-            .otherwise(_float_text(k)),
-            "product_name": F.concat(F.lit(" "), F.col("p_name"), F.lit(" ")),
-            "category": _pick(k, ["electronics", "Electronics", "HOME", "home and living", None, ""]),
-            "unit_price": _pick(k, ["invalid", None, price, price]),
-            "supplier_code": _pick(k, ["SUP1", " SUP2", "  ", None]),
-        },
+        product_id="""CASE WHEN copy THEN CAST(k AS STRING) WHEN k % 21 = 0 THEN NULL
+            WHEN k % 101 = 7 THEN 'x' || k ELSE k || '.0' END""",
+        product_name="' ' || p_name || ' '",
+        category="""CASE k % 6 WHEN 0 THEN 'electronics' WHEN 1 THEN 'Electronics' WHEN 2 THEN 'HOME'
+            WHEN 3 THEN 'home and living' WHEN 5 THEN '' END""",
+        unit_price="CASE k % 4 WHEN 0 THEN 'invalid' WHEN 1 THEN NULL ELSE m END",
+        supplier_code="CASE k % 4 WHEN 0 THEN 'SUP1' WHEN 1 THEN ' SUP2' WHEN 2 THEN '  ' END",
     )
 
 
+# One function per source.
 VIEWS = {
     "customers": customers,
     "orders": orders,

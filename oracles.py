@@ -511,6 +511,15 @@ FROM fact_orders GROUP BY status""",
         [*_ALL_BRONZE, f"\nviolations AS ({_ALL_VIOLATIONS})"],
         """SELECT row_number() OVER (ORDER BY rule, raw_record) AS id, source_file, rejection_reason,
   rejected_at, raw_record FROM violations""",
+    )
+    sql["quarantine_id_ranges"] = _with(
+        [
+            *_ALL_BRONZE,
+            f"\nviolations AS ({_ALL_VIOLATIONS})",
+            "\nnumbered AS (SELECT row_number() OVER (ORDER BY rule) AS id, * FROM violations)",
+        ],
+        """SELECT rejection_reason, min(id) AS first_id, max(id) AS last_id, count(DISTINCT id) AS ids,
+  count(*) AS rows FROM numbered GROUP BY rejection_reason""",
     )
     sql["date_shape_violations"] = _with(
         [_ORDERS],
