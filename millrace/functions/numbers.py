@@ -3,12 +3,15 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Java also reads `1.0d`, `1f` and hex floats as numbers; plain decimals only are wanted.
-_NUMBER = r"(?i)\A\s*([+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?|[+-]?(nan|inf|infinity))\s*\z"
+# Java also reads `1.0d`, `1f` and hex floats as numbers; plain decimals only are wanted,
+# with single underscores allowed between digits.
+_DIGITS = r"\d+(?:_\d+)*"
+_DECIMAL = rf"(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
+_NUMBER = rf"(?i)\A\s*[+-]?(?:{_DECIMAL}|nan|inf|infinity)\s*\z"
 
 
 def to_double(c: Column) -> Column:
-    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
+    return F.when(c.rlike(_NUMBER), F.replace(c, F.lit("_"), F.lit("")).try_cast("double"))
 
 
 def to_id(c: Column) -> Column:

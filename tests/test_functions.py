@@ -44,6 +44,10 @@ IDS = {
     "2147483647.6": None,
     "-2147483648": -2147483648,
     "0x10": None,
+    "1_000": 1000,
+    "1__0": None,
+    "_1": None,
+    "1_": None,
     "1,000": None,
     "abc": None,
     "": None,
