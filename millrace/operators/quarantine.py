@@ -25,18 +25,27 @@ def broken_rules(df: DataFrame, rules, source_file: str) -> DataFrame:
     All rules are evaluated in one scan. `_first` marks one row per record, so records can
     be counted next to violations.
     """
-    hits = F.array(*[F.when(r.broken(), F.lit(r.number)) for r in rules])
-    reasons = F.create_map(*[F.lit(x) for r in rules for x in (r.number, r.reason)])
-    # Rules are evaluated in a projection of their own, as a generator does not take part in
-    # codegen. NULLs are dropped inside the generator: given a bare column, Catalyst would
-    # add a filter on its size and evaluate every rule a second time below.
+    # Rules are evaluated once, in a projection of their own. The array of hits is built
+    # inside the generator and its NULLs dropped after it: given a bare column, Catalyst
+    # would filter on its size and evaluate every rule a second time below.
+    broken = [f"_broken_{r.number}" for r in rules]
+    judged = df.select(
+        *df.columns,
+        *[F.coalesce(r.broken(), F.lit(False)).alias(c) for r, c in zip(rules, broken)],
+    )
+    hits, earlier = [], F.lit(False)
+    for rule, column in zip(rules, broken):
+        hit = F.struct(
+            F.lit(rule.number).alias("_rule"),
+            F.lit(rule.reason).alias("_reason"),
+            (~earlier).alias("_first"),
+        )
+        hits.append(F.when(F.col(column), hit))
+        earlier = earlier | F.col(column)
     return (
-        df.withColumn("_hits", hits)
-        .select(*df.columns, F.posexplode(F.array_compact("_hits")).alias("_position", "_rule"))
-        .withColumn("_file", F.lit(source_file))
-        .withColumn("_reason", F.element_at(reasons, F.col("_rule")))
-        .withColumn("_first", F.col("_position") == 0)
-        .drop("_position")
+        judged.select(*df.columns, F.explode(F.array(*hits)).alias("_hit"))
+        .where(F.col("_hit").isNotNull())
+        .select(*df.columns, F.lit(source_file).alias("_file"), "_hit.*")
     )
 
 

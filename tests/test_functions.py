@@ -45,6 +45,12 @@ IDS = {
     "-2147483648": -2147483648,
     "0x10": None,
     "1_000": 1000,
+    "17.0": 17,
+    "-17.0": -17,
+    "17 .0": None,
+    ".0": 0,
+    "3000000000.0": None,
+    "99999999999999999999.0": None,
     "1__0": None,
     "_1": None,
     "1_": None,
