@@ -10,7 +10,9 @@ def publish(df: DataFrame, table: str, root: str, partition_by=()) -> DataFrame:
     """Replace `layer.name` with the rows of `df`.
 
     The rows go to a new folder first, then the catalog entry moves to it, so readers see
-    the old table or the new one, and a failed write leaves the old one in place.
+    the old table or the new one, and a failed write leaves the old one in place. A
+    partitioned table, or one whose columns change, has its entry dropped and created
+    again instead.
     """
     spark = df.sparkSession
     layer, name = table.split(".")

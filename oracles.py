@@ -12,6 +12,7 @@ from millrace.sources.legacy_views import BATCH_ID, INGESTED_AT
 SOURCES = tuple(vocab.SOURCE_FILES)
 
 # --- the dirty views --------------------------------------------------------------------
+# All rows of each table are read; the branches with a condition add repeated rows to them.
 
 
 def _lineage(source: str) -> str:
