@@ -24,6 +24,22 @@ from millrace.plans.migration import BAD_RECORDS  # noqa: E402
 from millrace.session import materialize, shared_dir  # noqa: E402
 from millrace.sources import landing, legacy_views  # noqa: E402
 
+# The text operators are optional: without their folder the rest is registered alone.
+try:
+    from millrace.llm import queries as text_queries
+except ModuleNotFoundError as missing:
+    if not str(missing.name).startswith("millrace.llm"):
+        raise
+    text_queries = None
+
+# The pipeline is optional as well.
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name != "corpus_pipeline" and not str(missing.name).startswith("millrace.llm"):
+        raise
+    corpus_pipeline = None
+
 REJECTED_AT = legacy_views.INGESTED_AT
 # The table each legacy source is derived from.
 DERIVED_FROM = {"customers": "customer", "orders": "orders", "transactions": "lineitem", "products": "part"}
@@ -310,6 +326,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[vocab.GOLD_TABLES[source]] = _gold(source)
         out[f"quarantine_{source}"] = _quarantine(source)
         out[f"profile_{source}"] = _profile(source)
+    if text_queries:
+        out |= text_queries.QUERIES
+    if corpus_pipeline:
+        out["pipeline"] = corpus_pipeline.run
     return out | {
         "csv_header_products": _csv_header_products,
         "load_reconciliation": _load_reconciliation,
@@ -386,4 +406,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.statements()
+    out = oracles.statements()
+    if text_queries:
+        out |= text_queries.ORACLE_SQL
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
