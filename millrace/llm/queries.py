@@ -1,8 +1,10 @@
 """Registered queries of this package and the SQL they are checked against."""
 
-from millrace.llm import exact_dedup, url_filter
+from millrace.llm import byte_bpe, exact_dedup, token_counts, url_filter
 
 QUERIES = {
+    "op3_byte_bpe": byte_bpe.query,
+    "op4_token_counts": token_counts.query,
     "op6_url_filter": url_filter.query,
     "op9_exact_dedup": exact_dedup.query,
 }
