@@ -1,15 +1,18 @@
 """Registered queries of this package and the SQL they are checked against."""
 
-from millrace.llm import byte_bpe, exact_dedup, token_counts, url_filter
+from millrace.llm import byte_bpe, exact_dedup, secret_scan, token_counts, topk_search, url_filter
 
 QUERIES = {
+    "op2_secret_scan": secret_scan.query,
     "op3_byte_bpe": byte_bpe.query,
     "op4_token_counts": token_counts.query,
     "op6_url_filter": url_filter.query,
+    "op8_topk_search": topk_search.query,
     "op9_exact_dedup": exact_dedup.query,
 }
 
 ORACLE_SQL = {
     "op6_url_filter": url_filter.SQL,
+    "op8_topk_search": topk_search.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
 }
