@@ -1,14 +1,25 @@
 """Registered queries of this package and the SQL they are checked against."""
 
-from millrace.llm import byte_bpe, exact_dedup, secret_scan, token_counts, topk_search, url_filter
+from millrace.llm import (
+    byte_bpe,
+    exact_dedup,
+    language_id,
+    packing,
+    secret_scan,
+    token_counts,
+    topk_search,
+    url_filter,
+)
 
 QUERIES = {
     "op2_secret_scan": secret_scan.query,
     "op3_byte_bpe": byte_bpe.query,
     "op4_token_counts": token_counts.query,
+    "op5_packing": packing.query,
     "op6_url_filter": url_filter.query,
     "op8_topk_search": topk_search.query,
     "op9_exact_dedup": exact_dedup.query,
+    "op10_language_id": language_id.query,
 }
 
 ORACLE_SQL = {
