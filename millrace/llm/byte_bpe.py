@@ -11,6 +11,7 @@ import functools
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import tiktoken
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 RANKS = "byte_bpe_multi_50k.tiktoken"
 # Texts beyond so many characters are cut at the next safe boundary.
 STRETCH = 1 << 16
+# Rows of a batch that a worker hands back together.
+ROWS = 256
 # Unicode white space, as `\s` of the pattern has it.
 _WIDE = (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 WHITE = "\\t-\\r \\x85\\xa0" + "".join(map(chr, _WIDE))
@@ -42,6 +45,17 @@ def stretches(text: str, length: int = STRETCH) -> Iterator[str]:
     yield text[start:] if start else text
 
 
+def ids_of(codec: tiktoken.Encoding, text: str) -> np.ndarray:
+    parts = [np.array(codec.encode_ordinary(part), np.int32) for part in stretches(text)]
+    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+
+def _few(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in batches:
+        for start in range(0, len(batch), ROWS):
+            yield batch.iloc[start : start + ROWS]
+
+
 def encode(text: Column, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> Column:
     """array<int> of the ids of a text; strings of special tokens are ordinary text, null is empty."""
     path = path or public_tokenizers.path(RANKS)
@@ -49,10 +63,8 @@ def encode(text: Column, path: str | None = None, pattern: str = public_tokenize
     @F.pandas_udf("array<int>")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = encoding(path, pattern)
-        for texts in batches:
-            yield pd.Series(
-                [[i for part in stretches(t or "") for i in codec.encode_ordinary(part)] for t in texts]
-            )
+        for rows in _few(batches):
+            yield pd.Series([ids_of(codec, text or "") for text in rows], dtype=object)
 
     return ids(text)
 
@@ -64,8 +76,9 @@ def decode(ids: Column, path: str | None = None, pattern: str = public_tokenizer
     @F.pandas_udf("binary")
     def raw(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = encoding(path, pattern)
-        for rows in batches:
-            yield pd.Series([b"" if r is None else codec.decode_bytes(r.tolist()) for r in rows])
+        for rows in _few(batches):
+            made = [b"" if row is None else codec.decode_bytes(row.tolist()) for row in rows]
+            yield pd.Series(made, dtype=object)
 
     return raw(ids)
 
