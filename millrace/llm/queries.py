@@ -4,6 +4,7 @@ from millrace.llm import (
     byte_bpe,
     exact_dedup,
     language_id,
+    line_dedup,
     packing,
     secret_scan,
     token_counts,
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_token_counts": token_counts.query,
     "op5_packing": packing.query,
     "op6_url_filter": url_filter.query,
+    "op7_line_dedup": line_dedup.query,
     "op8_topk_search": topk_search.query,
     "op9_exact_dedup": exact_dedup.query,
     "op10_language_id": language_id.query,
@@ -24,6 +26,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op6_url_filter": url_filter.SQL,
+    "op7_line_dedup": line_dedup.SQL,
     "op8_topk_search": topk_search.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
 }
