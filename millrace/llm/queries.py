@@ -3,6 +3,7 @@
 from millrace.llm import (
     byte_bpe,
     exact_dedup,
+    jaccard_join,
     language_id,
     line_dedup,
     packing,
@@ -13,6 +14,7 @@ from millrace.llm import (
 )
 
 QUERIES = {
+    "op1_jaccard_join": jaccard_join.query,
     "op2_secret_scan": secret_scan.query,
     "op3_byte_bpe": byte_bpe.query,
     "op4_token_counts": token_counts.query,
