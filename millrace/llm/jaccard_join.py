@@ -267,15 +267,8 @@ def _common_links(shared: DataFrame, verifier: Verifier, links: DataFrame) -> Da
     return links
 
 
-def join_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_shingles and component_id, one row per input row.
-
-    Shingles are of `SHINGLE` words; a text of fewer words is one shingle of all its words. A null
-    text, or one without words, has none and is linked with nothing: its component is its own id.
-    Documents of equal sets share a component. component_id is the smallest id reachable by links;
-    null ids are passed over unless there is no other. Repeated rows and ids are separate
-    documents. An empty table gives an empty result. Other columns are not read.
-    """
+def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """doc_id, text_hash, n and the component of each document, null for one without shingles."""
     named = _named(docs, id_column, text_column)
     schema = "doc_id long, text_hash long, n long, node long, keys array<long>"
     sketches = materialize(named.mapInArrow(_sketched, schema), "sketches")
@@ -308,15 +301,41 @@ def join_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     links = verifier.linked(pairs)
     if not common.isEmpty():
         links = _common_links(common, verifier, links)
-    found = components(links)
-
-    smallest = sets.groupBy("node").agg(F.min("doc_id").alias("first_id"))
-    labelled = smallest.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    of_component = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_node = labelled.join(of_component, "component").select("node", "component_id")
-    out = sketches.join(of_node, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    out = sketches.select("doc_id", "text_hash", "n", "node").join(components(links), "node", "left")
+    return materialize(out.withColumn("component", F.coalesce("component", "node")), "components")
+
+
+def join_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, n_shingles and component_id, one row per input row.
+
+    Shingles are of `SHINGLE` words; a text of fewer words is one shingle of all its words. A null
+    text, or one without words, has none and is linked with nothing: its component is its own id.
+    Documents of equal sets share a component. component_id is the smallest id reachable by links;
+    null ids are passed over unless there is no other. Repeated rows and ids are separate
+    documents. An empty table gives an empty result. Other columns are not read.
+    """
+    grouped = _grouped(docs, id_column, text_column)
+    smallest = grouped.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("smallest"))
+    named = grouped.join(smallest, "component", "left")
+    component = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))
+    return named.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def drop_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """`docs` with one document of each component: the smallest id, a null id last, then by text hash.
+
+    Columns pass through as they are. Rows that share id and text are one document and stay or go
+    together; texts without words all stay.
+    """
+    grouped = _grouped(docs, id_column, text_column).where("component IS NOT NULL")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    first = grouped.groupBy("component").agg(F.min(place).alias("first"))
+    gone = grouped.join(first, "component").where(~place.eqNullSafe(F.col("first")))
+    gone = gone.select("doc_id", "text_hash").distinct()
+    id_value, text_hash = F.col(id_column).cast("long"), F.xxhash64(F.col(text_column))
+    rows = docs.select(F.struct("*").alias("document"), id_value.alias("doc_id"), text_hash.alias("text_hash"))
+    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.text_hash") == F.col("g.text_hash"))
+    return rows.alias("d").join(gone.alias("g"), same, "left_anti").select("document.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

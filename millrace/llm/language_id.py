@@ -190,6 +190,17 @@ def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
     return named.withColumns({"score": F.col("lang_pred.score"), "lang_pred": F.col("lang_pred.lang_pred")})
 
 
+def drop_undetermined(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
+    """`docs` without the rows that `predict` calls `und`: a null text, or one without a letter.
+
+    A model that knows no language rejects the same rows and no others. Columns stay as they are.
+    """
+    if not model.languages:
+        return docs.where(F.col(text_column).rlike(r"\p{L}"))
+    rows = docs.select(F.struct("*").alias("document"), F.col(text_column).alias("text"))
+    return identify(rows, model).where(F.col("lang_pred") != UNDETERMINED).select("document.*")
+
+
 def held_out(id_column: Column) -> Column:
     """crc32 of the id as text, modulo 4, is 2; a null id is not held out."""
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 4 == 2, F.lit(False))
