@@ -17,13 +17,16 @@ def text_schema(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def csv_options(multi_line: bool = False) -> dict:
+def csv_options(multi_line: bool = False, sep: str = ",") -> dict:
     """Header row, empty field (quoted or not) NULL, spaces kept.
 
-    A file with quoted line breaks needs `multi_line`, which makes each file one task.
+    A file with quoted line breaks needs `multi_line`, which makes each file one task. A file whose
+    header differs from the first one's fails the read rather than shift its columns.
     """
     return {
         "header": "true",
+        "enforceSchema": "false",
+        "sep": sep,
         "emptyValue": "",
         "nullValue": "",
         "escape": '"',
@@ -35,31 +38,63 @@ def csv_options(multi_line: bool = False) -> dict:
     }
 
 
+def header_of(spark: SparkSession, path, columns=(), multi_line: bool = False, sep: str = ",") -> list:
+    """Column names of the first file's header, which has to hold `columns`, in any order."""
+    try:
+        names = spark.read.options(**csv_options(multi_line, sep)).csv(path).columns
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"Missing source file: {path}") from error
+        raise
+    held = {name.lower() for name in names}
+    if missing := [c for c in columns if c.lower() not in held]:
+        raise ValueError(f"{path}: columns {missing} are not in the header {names} (separator {sep!r})")
+    return names
+
+
 def read_text_csv(
     spark: SparkSession,
     path,
     columns=None,
     multi_line: bool = False,
     keep_corrupt: bool = False,
+    sep: str = ",",
 ) -> DataFrame:
     """Scan CSV files as text; short rows are padded with NULL.
 
-    Without `columns` the header names them. With `keep_corrupt`, rows whose field count
-    differs from the header carry their raw line in `_corrupt_record`, so fields beyond
-    the header stay visible.
+    The header names the columns. `columns` come first, in their order, then what else the file
+    has. With `keep_corrupt`, rows whose field count differs from the header carry their raw line
+    in `_corrupt_record`, so fields beyond the header stay visible.
     """
-    reader = spark.read.options(**csv_options(multi_line))
-    try:
-        if columns is None:
-            columns = reader.csv(path).columns
-        schema = text_schema(columns)
-        if keep_corrupt:
-            schema = schema.add(CORRUPT, T.StringType())
-        return reader.schema(schema).csv(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"Missing source file: {path}") from error
-        raise
+    names = header_of(spark, path, columns or (), multi_line, sep)
+    schema = text_schema([*names, CORRUPT] if keep_corrupt else names)
+    df = spark.read.options(**csv_options(multi_line, sep)).schema(schema).csv(path)
+    return df.select(*ordered(names, columns), *([CORRUPT] if keep_corrupt else []))
+
+
+def ordered(names, columns) -> list:
+    """The registered columns under their own names, then the others of the header."""
+    columns = columns or ()
+    known = {c.lower() for c in columns}
+    return [*[F.col(f"`{c}`").alias(c) for c in columns], *[f"`{n}`" for n in names if n.lower() not in known]]
+
+
+def uneven_lines(spark: SparkSession, source: str, path, **read_options) -> DataFrame:
+    """(source_file, fields_read, raw_line) of lines with more or fewer fields than the header.
+
+    `fields_read` counts the fields that have a value and a column.
+    """
+    df = read_text_csv(spark, path, vocab.SOURCE_COLUMNS[source], keep_corrupt=True, **read_options)
+    return uneven(df, F.lit(vocab.SOURCE_FILES[source]))
+
+
+def uneven(df: DataFrame, source_file) -> DataFrame:
+    """The uneven lines of rows read with their raw line."""
+    fields = [F.col(f"`{c}`") for c in df.columns if c not in (CORRUPT, *vocab.LINEAGE_COLUMNS)]
+    filled = F.size(F.filter(F.array(*fields), lambda field: field.isNotNull()))
+    return df.where(F.col(CORRUPT).isNotNull()).select(
+        source_file.alias("source_file"), filled.alias("fields_read"), F.col(CORRUPT).alias("raw_line")
+    )
 
 
 def new_batch() -> tuple[str, str]:

@@ -14,17 +14,6 @@ INGESTED_AT = "2024-01-01T00:00:00+00:00"
 BATCH_ID = "00000000-0000-4000-8000-000000000001"
 
 
-def _scan(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """A table, spread over all cores by key when its files are few.
-
-    A file with one row group is read by one task, and all row-wise work after it would
-    stay in that task. Tables with at least one split per core are left as they are.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def _again(condition: str) -> str:
     """A column `copy`: rows where the condition holds appear twice, the second time true."""
     return f"explode(IF({condition}, array(false, true), array(false))) AS copy"
@@ -36,7 +25,7 @@ def _bronze(df: DataFrame, source: str, **columns: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _scan(spark, f"{sf_dir}/customer.parquet", "c_custkey").selectExpr(
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(
         "*",
         "c_custkey AS k",
         "date_add(DATE '1990-01-01', CAST(c_custkey % 5000 AS INT)) AS d",
@@ -61,7 +50,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _scan(spark, f"{sf_dir}/orders.parquet", "o_orderkey").selectExpr(
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
         "*",
         "o_orderkey AS k",
         "o_orderdate AS d",
@@ -88,7 +77,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _scan(spark, f"{sf_dir}/lineitem.parquet", "l_orderkey").selectExpr(
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
         "*", "l_orderkey * 10 + l_linenumber AS k", "l_shipdate AS d"
     )
     return _bronze(
@@ -108,7 +97,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _scan(spark, f"{sf_dir}/part.parquet", "p_partkey").selectExpr(
+    rows = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr(
         "*",
         "p_partkey AS k",
         "CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS STRING) AS m",

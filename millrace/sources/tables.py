@@ -12,7 +12,8 @@ def publish(df: DataFrame, table: str, root: str, partition_by=()) -> DataFrame:
     The rows go to a new folder first, then the catalog entry moves to it, so readers see
     the old table or the new one, and a failed write leaves the old one in place. A
     partitioned table, or one whose columns change, has its entry dropped and created
-    again instead.
+    again instead; the new entry has the rows' own columns, so no rows are no failure.
+    `drop_superseded` removes the folders that earlier runs have left.
     """
     spark = df.sparkSession
     layer, name = table.split(".")
@@ -27,18 +28,32 @@ def publish(df: DataFrame, table: str, root: str, partition_by=()) -> DataFrame:
             moved = True
     if not moved:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.catalog.createTable(table, path=path, source="parquet")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        parted = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {parted} LOCATION '{path}'")
         if partition_by:
             spark.catalog.recoverPartitions(table)
     return spark.table(table)
 
 
-def _types(df: DataFrame) -> list:
-    return [(f.name, f.dataType) for f in df.schema]
+def drop_superseded(spark: SparkSession, table: str, root: str) -> list:
+    """Delete the table's folders under `root` other than the one in use; returns their names.
+
+    For whoever owns the storage to call once no reader of an earlier run is left.
+    """
+    layer, name = table.split(".")
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    current = rows[0]["data_type"].rstrip("/").rsplit("/", 1)[-1]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{layer}/{name}")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName() != current]
+    for path in old:
+        files.delete(path, True)
+    return [path.getName() for path in old]
 
 
-def read_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table)
+def _types(df: DataFrame) -> list:
+    return [(f.name, f.dataType) for f in df.schema]
 
 
 _INVENTORY = T.StructType(

@@ -3,7 +3,7 @@ import pytest
 from conftest import rows
 from millrace import vocab
 from millrace.sources import landing
-from millrace.sources.tables import column_inventory, publish
+from millrace.sources.tables import column_inventory, drop_superseded, publish
 
 AT, BATCH = "2024-01-01T00:00:00+00:00", "b-1"
 
@@ -55,6 +55,41 @@ def test_header_names_columns(spark, write):
     assert rows(df) == [("1", "x")]
 
 
+def test_columns_are_found_by_name(spark, write):
+    path = write("supplier_code,product_name,product_id,unit_price,category\nS,A,1.0,5,c\n")
+    assert rows(read(spark, path)) == [("1.0", "A", "c", "5", "S")]
+
+
+def test_more_columns_follow_the_registered_ones(spark, write):
+    path = write("colour,product_id,product_name,category,unit_price,supplier_code\nred,1.0,A,c,5,S\n")
+    df = read(spark, path)
+    assert df.columns == [*vocab.SOURCE_COLUMNS["products"], "colour"]
+    assert rows(df) == [("1.0", "A", "c", "5", "S", "red")]
+
+
+def test_a_missing_column_or_another_separator_is_refused(spark, write):
+    with pytest.raises(ValueError, match="supplier_code"):
+        read(spark, write("product_id,product_name,category,unit_price\n1.0,A,c,5\n"))
+    path = write(HEADER.replace(",", ";") + "1.0;A;c;5;S\n")
+    with pytest.raises(ValueError, match="separator ','"):
+        read(spark, path)
+    assert rows(read(spark, path, sep=";")) == [("1.0", "A", "c", "5", "S")]
+
+
+def test_files_of_one_source_share_a_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(HEADER + "1.0,A,c,5,S\n")
+    (tmp_path / "b.csv").write_text("product_name,product_id,category,unit_price,supplier_code\nB,2.0,c,5,S\n")
+    with pytest.raises(Exception, match="header"):
+        read(spark, str(tmp_path)).collect()
+
+
+def test_uneven_lines(spark, write):
+    path = write(HEADER + "1.0,A,c,5,S,surplus\n2.0,B,c,5,S\n3.0,C\n")
+    found = landing.uneven_lines(spark, "products", path)
+    name = vocab.SOURCE_FILES["products"]
+    assert rows(found) == [(name, 2, "3.0,C"), (name, 5, "1.0,A,c,5,S,surplus")]
+
+
 def test_missing_source_is_named(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="nowhere.csv"):
         landing.land(spark, "products", str(tmp_path / "nowhere.csv"), AT, BATCH)
@@ -105,6 +140,23 @@ def test_publish_takes_a_new_schema_and_partitions(spark, tmp_path):
     assert publish(wide.where("id = 0"), table, str(tmp_path), ["part"]).count() == 1
 
 
+def test_publish_without_rows(spark, tmp_path):
+    none = spark.range(0).selectExpr("id", "id % 2 AS part")
+    for table, parts in (("t_layer.none", []), ("t_layer.none_parted", ["part"])):
+        for _ in range(2):
+            assert publish(none, table, str(tmp_path), parts).columns == ["id", "part"]
+        assert spark.table(table).count() == 0
+
+
+def test_superseded_folders_are_dropped(spark, tmp_path):
+    table = "t_layer.often"
+    for n in (1, 2, 3):
+        publish(spark.range(n), table, str(tmp_path))
+    assert len(drop_superseded(spark, table, str(tmp_path))) == 2
+    assert drop_superseded(spark, table, str(tmp_path)) == []
+    assert spark.table(table).count() == 3
+
+
 def test_column_inventory(spark):
     df = column_inventory(spark, {"t": spark.range(1).selectExpr("id", "'x' AS b")})
     assert rows(df) == [("t", 0, "id", "bigint"), ("t", 1, "b", "string")]
