@@ -49,15 +49,18 @@ def table_counts(tables: dict, batch_id: str | None = None) -> DataFrame:
 
 def expected_counts(spark: SparkSession, expected=None) -> DataFrame:
     """(dataset, expected) from a dict, by default the published export sizes."""
-    rows = list((expected or vocab.EXPECTED_ROWS).items())
+    rows = list((vocab.EXPECTED_ROWS if expected is None else expected).items())
     return spark.createDataFrame(rows, "dataset string, expected bigint")
 
 
 def load_reconciliation(tables: dict, expected: DataFrame) -> DataFrame:
-    """(table, expected, loaded, status) per source plus an overall row."""
+    """(table, expected, loaded, status) per source plus an overall row.
+
+    A table without an expected count, or the other way round, is a mismatch.
+    """
     loaded = table_counts(tables).select(F.col("table").alias("dataset"), F.col("rows").alias("loaded"))
     matches = F.col("expected") == F.col("loaded")
-    per_table = expected.join(loaded, "dataset", "left").select(
+    per_table = expected.join(loaded, "dataset", "full").select(
         F.concat(F.lit("bronze_"), "dataset").alias("table"),
         "expected",
         F.coalesce("loaded", F.lit(0)).alias("loaded"),
@@ -80,7 +83,10 @@ def load_reconciliation(tables: dict, expected: DataFrame) -> DataFrame:
 
 
 def row_counts(expected: DataFrame, bronze: dict, gold: dict) -> DataFrame:
-    """(dataset, source, bronze, gold, dropped, passed); bronze has to equal the source."""
+    """(dataset, source, bronze, gold, dropped, passed); bronze has to equal the source.
+
+    A dataset without an expected count does not pass.
+    """
     both = [
         df.agg(
             F.lit(dataset).alias("dataset"),
@@ -94,13 +100,13 @@ def row_counts(expected: DataFrame, bronze: dict, gold: dict) -> DataFrame:
         F.sum(F.when(F.col("layer") == "bronze", F.col("n"))).alias("bronze"),
         F.sum(F.when(F.col("layer") == "gold", F.col("n"))).alias("gold"),
     )
-    return expected.join(layers, "dataset").select(
+    return expected.join(layers, "dataset", "full").select(
         "dataset",
         F.col("expected").alias("source"),
         "bronze",
         "gold",
         (F.col("expected") - F.col("gold")).alias("dropped"),
-        (F.col("bronze") == F.col("expected")).alias("passed"),
+        F.coalesce(F.col("bronze") == F.col("expected"), F.lit(False)).alias("passed"),
     )
 
 
@@ -233,12 +239,15 @@ def validate(expected: DataFrame, bronze: dict, gold: dict) -> DataFrame:
             profile.select(F.inline(F.array(*results))).withColumn("passed", F.col("value") == 0)
         )
         counted.append(row_count(bronze[dataset], "n").select(F.lit(dataset).alias("dataset"), "n"))
-    missing = expected.join(union_all(counted), "dataset").select(
+    # Without an expected count, or without a table, the check fails.
+    none = F.lit(0).cast("bigint")
+    missing = expected.join(union_all(counted), "dataset", "full").select(
         F.lit(vocab.ROW_COUNT_CHECK).alias("check_name"),
         F.concat(F.lit("bronze_"), "dataset").alias("item"),
-        (F.col("expected") - F.col("n")).alias("value"),
+        (F.coalesce("expected", none) - F.coalesce("n", none)).alias("value"),
+        F.coalesce(F.col("expected") == F.col("n"), F.lit(False)).alias("passed"),
     )
-    parts.append(missing.withColumn("passed", F.col("value") == 0))
+    parts.append(missing)
     parts.append(reference_check(gold))
     return union_all(parts)
 

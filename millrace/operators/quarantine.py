@@ -3,7 +3,7 @@
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import row_json
@@ -91,47 +91,50 @@ def summarize(broken: DataFrame, rules_by_file: dict) -> DataFrame:
 
 # monotonically_increasing_id: partition number in the upper bits, position in the lower 33.
 _POSITION_BITS = 33
+# Written partitions at most. It bounds the counts gathered on the driver and the offsets broadcast:
+# one of each per written partition (and per group, of which there are a handful).
+MAX_PARTS = 20_000
 
 
 def _part_of(slot) -> Column:
     return F.shiftright(slot, _POSITION_BITS).cast("int")
 
 
-def _rows_before(order):
-    return Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+def _with_offsets(stored: DataFrame, offsets: list, schema: str, on: list) -> DataFrame:
+    """Join the offsets, bounded by MAX_PARTS, to the stored rows where they lie."""
+    table = stored.sparkSession.createDataFrame(offsets, schema)
+    return stored.join(F.broadcast(table), on)
 
 
 def number_rows(df: DataFrame, order, name: str = "numbered") -> DataFrame:
     """Add `id` 1..N in the given order: the same ids for the same rows on any cluster.
 
-    Rows are range-partitioned and sorted, with each row's input position as last key so
-    that equal rows, however many, spread over partitions. The result is written before
-    positions are counted, so a retry cannot renumber it. Only one count per written
-    partition is then gathered, to give each partition its offset.
+    Rows are written once, so that sampling the ranges does not compute them again. They are then
+    range-partitioned and sorted, with each row's input position as last key so that equal rows,
+    however many, spread over partitions. The result is written before positions are counted, so a
+    retry cannot renumber it. One count per written partition gives each its offset.
 
     All rows are shuffled once. Where ids need not be reproducible, `number_groups` moves
     no row.
     """
+    spark = df.sparkSession
+    found = materialize(df.withColumn("_origin", F.monotonically_increasing_id()), f"{name}-found")
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_PARTS)
     placed = (
-        df.withColumn("_origin", F.monotonically_increasing_id())
-        .repartitionByRange(*order, "_origin")
+        found.repartitionByRange(parts, *order, "_origin")
         .sortWithinPartitions(*order, "_origin")
         .drop("_origin")
         .withColumn("_slot", F.monotonically_increasing_id())
     )
-    stored = materialize(placed, name)
-    part = _part_of("_slot")
+    stored = materialize(placed, name).withColumn("_part", _part_of("_slot"))
+    counted = stored.groupBy("_part").agg(F.count("*").alias("n")).collect()
+    offsets, before = [], 0
+    for row in sorted(counted):
+        offsets.append((row["_part"], before))
+        before += row["n"]
     position = F.col("_slot").bitwiseAND((1 << _POSITION_BITS) - 1)
-    # One row per partition of the write, bounded by the number of shuffle partitions.
-    offsets = (
-        stored.groupBy(part.alias("_part"))
-        .agg(F.count("*").alias("n"))
-        .select("_part", F.coalesce(F.sum("n").over(_rows_before(["_part"])), F.lit(0)).alias("_offset"))
-    )
-    return (
-        stored.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .select((F.col("_offset") + position + 1).alias("id"), *df.columns)
+    return _with_offsets(stored, offsets, "_part int, _offset bigint", ["_part"]).select(
+        (F.col("_offset") + position + 1).alias("id"), *df.columns
     )
 
 
@@ -140,29 +143,23 @@ def number_groups(df: DataFrame, group: str, name: str = "numbered") -> DataFram
 
     `group` has a small fixed set of values, such as the rule number. No row is shuffled:
     each partition is sorted by group where it is and written, and the offsets come from
-    one count per (group, partition). That table is joined without a hint, so it is
-    broadcast only when small.
+    one count per (group, partition).
     """
-    placed = df.sortWithinPartitions(group).withColumn("_slot", F.monotonically_increasing_id())
+    placed = (
+        df.coalesce(MAX_PARTS)
+        .sortWithinPartitions(group)
+        .withColumn("_slot", F.monotonically_increasing_id())
+    )
     stored = materialize(placed, name).withColumn("_part", _part_of("_slot"))
     runs = stored.groupBy(group, "_part").agg(
         F.count("*").alias("n"), F.min("_slot").alias("_first")
     )
-    # One row per group, and running sums within a group over its partitions.
-    groups = (
-        runs.groupBy(group)
-        .agg(F.sum("n").alias("n"))
-        .select(group, F.coalesce(F.sum("n").over(_rows_before([group])), F.lit(0)).alias("_base"))
-    )
-    within = Window.partitionBy(group).orderBy("_part")
-    before = within.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = runs.join(groups, group).select(
-        group,
-        "_part",
-        (F.col("_base") + F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("_first")).alias(
-            "_offset"
-        ),
-    )
-    return stored.join(offsets, [group, "_part"]).select(
+    offsets, before = [], 0
+    for row in sorted(runs.collect()):
+        offsets.append((row[group], row["_part"], before - row["_first"]))
+        before += row["n"]
+    kind = stored.schema[group].dataType.simpleString()
+    schema = f"`{group}` {kind}, _part int, _offset bigint"
+    return _with_offsets(stored, offsets, schema, [group, "_part"]).select(
         (F.col("_offset") + F.col("_slot") + 1).alias("id"), *df.columns
     )

@@ -45,20 +45,20 @@ def match_parent(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """The inner join's child columns: a child row appears once per parent row with its key.
 
     The parent is counted per key first, and child rows are repeated after the join, so
-    repeated parent rows are never shuffled or buffered.
+    repeated parent rows are never shuffled or buffered. A key with very many parent rows becomes
+    several counts of bounded size before the join, so one array per child row does, and a child
+    row of a single parent, the usual case, meets a constant one.
     """
-    matched = child.join(key_counts(parent, key), key, "inner")
-    return _repeat(matched, F.col("copies")).select(child.columns)
-
-
-def _repeat(df: DataFrame, copies: Column) -> DataFrame:
-    """Each row `copies` times, through arrays of bounded size."""
-    last_block = F.floor((copies - 1) / F.lit(_BLOCK))
-    blocks = df.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
-    rest = F.least(F.lit(_BLOCK).cast("bigint"), copies - F.col("_block") * _BLOCK)
-    return blocks.withColumn(
-        "_copy", F.explode(F.array_repeat(F.lit(True), rest.cast("int")))
+    counts = key_counts(parent, key)
+    last_block = F.floor((F.col("copies") - 1) / F.lit(_BLOCK))
+    blocks = counts.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
+    size = F.least(F.lit(_BLOCK).cast("bigint"), F.col("copies") - F.col("_block") * _BLOCK)
+    matched = child.join(blocks.select(key, size.alias("_copies")), key, "inner")
+    one = F.array(F.lit(True))
+    copies = F.when(F.col("_copies") == 1, one).otherwise(
+        F.array_repeat(F.lit(True), F.col("_copies").cast("int"))
     )
+    return matched.withColumn("_copy", F.explode(copies)).select(child.columns)
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:

@@ -4,6 +4,7 @@ import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace import vocab
 from millrace.operators import checks
@@ -11,7 +12,7 @@ from millrace.operators.profile import profile_all
 from millrace.operators.quarantine import number_groups
 from millrace.plans import rules, silver
 from millrace.plans.gold import gold_table
-from millrace.sources.landing import land_all, new_batch
+from millrace.sources.landing import land_all, new_batch, uneven_lines
 from millrace.sources.tables import publish
 
 BAD_RECORDS = ("id", "source_file", "rejection_reason", "rejected_at", "raw_record")
@@ -28,6 +29,8 @@ class Migration:
     silver: dict
     gold: dict
     validation: DataFrame
+    row_counts: DataFrame
+    uneven: DataFrame
     summary: DataFrame
     seconds: float
 
@@ -37,10 +40,37 @@ def build_bronze(sources: dict, root: str, prefix: str = "") -> dict:
 
 
 def build_bad_records(bronze: dict, root: str, rejected_at: str, prefix: str = "") -> DataFrame:
-    """All violations, numbered 1..N in rule order without a shuffle, one folder per file."""
+    """All violations in their declared columns, numbered 1..N in rule order without a shuffle."""
     found = rules.quarantine_all(bronze, rejected_at)
     numbered = number_groups(found, "rule", "bad-records").select(*BAD_RECORDS)
-    return publish(numbered, f"{prefix}bronze.bad_records", root, ["source_file"])
+    return publish(numbered, f"{prefix}bronze.bad_records", root)
+
+
+def build_uneven_lines(spark: SparkSession, landing: str, root: str, prefix: str = "") -> DataFrame:
+    """Lines with more or fewer fields than their header: what a surplus field held stays visible."""
+    parts = [uneven_lines(spark, s, f"{landing}/{name}") for s, name in vocab.SOURCE_FILES.items()]
+    return publish(checks.union_all(parts), f"{prefix}bronze.uneven_lines", root)
+
+
+def run_summary(
+    bronze: dict, uneven: DataFrame, expected: DataFrame, batch_id: str, started_at: str, seconds: float
+) -> DataFrame:
+    """(batch_id, table, rows, uneven_lines, status, started_at, seconds), one row per bronze table."""
+    counts = checks.table_counts({f"bronze_{s}": df for s, df in bronze.items()}, batch_id)
+    status = checks.load_reconciliation(bronze, expected).select("table", "status")
+    names = F.create_map(*[F.lit(v) for s, f in vocab.SOURCE_FILES.items() for v in (f, f"bronze_{s}")])
+    lines = uneven.groupBy(F.element_at(names, F.col("source_file")).alias("table")).agg(
+        F.count("*").alias("uneven_lines")
+    )
+    return counts.join(lines, "table", "left").join(status, "table").select(
+        "batch_id",
+        "table",
+        "rows",
+        F.coalesce("uneven_lines", F.lit(0)).cast("bigint").alias("uneven_lines"),
+        "status",
+        F.lit(started_at).alias("started_at"),
+        F.lit(seconds).alias("seconds"),
+    )
 
 
 def build_silver(bronze: dict, root: str, prefix: str = "") -> dict:
@@ -72,6 +102,7 @@ def run_migration(
     batch_id: str | None = None,
     ingested_at: str | None = None,
     prefix: str = "",
+    rejected_at: str | None = None,
 ) -> Migration:
     """Land, quarantine, profile, clean, publish and validate.
 
@@ -82,14 +113,17 @@ def run_migration(
     new_id, now = new_batch()
     batch_id, ingested_at = batch_id or new_id, ingested_at or now
     bronze = build_bronze(land_all(spark, landing, ingested_at, batch_id), root, prefix)
-    bad_records = build_bad_records(bronze, root, ingested_at, prefix)
+    uneven = build_uneven_lines(spark, landing, root, prefix)
+    bad_records = build_bad_records(bronze, root, rejected_at or new_batch()[1], prefix)
     profile = publish(profile_all(bronze), f"{prefix}bronze.column_profile", root)
     silver_tables = build_silver(bronze, root, prefix)
     gold = build_gold(silver_tables, root, prefix)
     counted = checks.expected_counts(spark, expected)
     validation = publish(checks.validate(counted, bronze, gold), f"{prefix}gold.validation", root)
-    loaded = {f"bronze_{s}": df for s, df in bronze.items()}
-    summary = publish(checks.table_counts(loaded, batch_id), f"{prefix}gold.run_summary", root)
+    dropped = publish(checks.row_counts(counted, bronze, gold), f"{prefix}gold.row_counts", root)
+    seconds = time.monotonic() - started
+    made = run_summary(bronze, uneven, counted, batch_id, now, seconds)
+    summary = publish(made, f"{prefix}gold.run_summary", root)
     return Migration(
         batch_id,
         bronze,
@@ -98,6 +132,8 @@ def run_migration(
         silver_tables,
         gold,
         validation,
+        dropped,
+        uneven,
         summary,
-        time.monotonic() - started,
+        seconds,
     )

@@ -15,6 +15,10 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
+PARTITIONS = (
+    "spark.sql.shuffle.partitions",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+)
 
 
 def build_session(master: str | None = None, **settings) -> SparkSession:
@@ -23,7 +27,19 @@ def build_session(master: str | None = None, **settings) -> SparkSession:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    require_partitions(spark)
+    return spark
+
+
+def require_partitions(spark: SparkSession) -> None:
+    """A cluster session has to say how many shuffle partitions it starts from.
+
+    Spark's default of 200 is hundreds of GB each at 100 TB, and AQE splits skewed ones only.
+    """
+    chosen = any(spark.conf.get(name, None) not in (None, "200") for name in PARTITIONS)
+    if not chosen and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set one of {', '.join(PARTITIONS)}: about 200 MB of shuffled data each")
 
 
 def shared_dir(spark: SparkSession) -> str:

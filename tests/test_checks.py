@@ -84,7 +84,30 @@ def test_row_counts(spark, gold):
     expected = checks.expected_counts(spark, {"customers": 5, "orders": 3})
     bronze = {"customers": spark.range(5), "orders": spark.range(4)}
     got = {r.dataset: tuple(r)[1:] for r in checks.row_counts(expected, bronze, gold).collect()}
-    assert got == {"customers": (5, 5, 2, 3, True), "orders": (3, 4, 3, 0, False)}
+    assert got["customers"] == (5, 5, 2, 3, True)
+    assert got["orders"] == (3, 4, 3, 0, False)
+    # Without an expected count nothing passes.
+    assert got["products"] == (None, None, 1, None, False)
+
+
+def test_tables_without_an_expected_count_fail(spark, gold):
+    expected = checks.expected_counts(spark, {"customers": 2})
+    status = {r.table: r.status for r in checks.load_reconciliation(gold, expected).collect()}
+    assert status == {
+        "bronze_customers": "OK",
+        **{f"bronze_{s}": "MISMATCH" for s in ("orders", "products", "transactions")},
+        "overall": "MISMATCH",
+    }
+    counts = checks.validate(expected, gold, gold).where(f"check_name = '{vocab.ROW_COUNT_CHECK}'")
+    assert {r["item"] for r in counts.where("NOT passed").collect()} == {
+        "bronze_orders",
+        "bronze_products",
+        "bronze_transactions",
+    }
+
+
+def test_no_expected_counts_are_not_the_default(spark):
+    assert checks.expected_counts(spark, {}).count() == 0
 
 
 def test_default_expected_counts(spark):

@@ -50,13 +50,13 @@ def test_layers(run):
 
 
 def test_bad_records(run):
-    assert set(run.bad_records.columns) == {
+    assert run.bad_records.columns == [
         "id",
         "source_file",
         "rejection_reason",
         "rejected_at",
         "raw_record",
-    }
+    ]
     ids = sorted(r.id for r in run.bad_records.select("id").collect())
     assert ids == list(range(1, len(ids) + 1))
     assert {r.source_file for r in run.bad_records.select("source_file").distinct().collect()} == set(
@@ -83,6 +83,62 @@ def test_validation_reports_what_fails(run):
     }
 
 
+def test_summary_has_status_and_duration(run):
+    found = run.summary.collect()
+    assert {r.status for r in found} == {"OK"}
+    assert all(r.seconds > 0 and r.started_at and r.uneven_lines == 0 for r in found)
+    assert run.uneven.count() == 0
+
+
+def test_dropped_rows_are_stored(spark, run):
+    stored = spark.table("m_gold.row_counts")
+    assert {r.dataset: r.dropped for r in stored.collect()} == {
+        "customers": 12,
+        "orders": 359,
+        "transactions": 1813,
+        "products": 15,
+    }
+
+
+CLEAN = {
+    "customers": ("customer_id,full_name,email,phone_number,signup_date,status", "1.0,Ann Lee,a@x.com,1,2023-01-02,Active"),
+    "orders": ("order_id,customer_id,order_date,total_amount,status,channel", "5.0,1.0,2023-01-02,R 5,Done,Web"),
+    "transactions": (
+        "transaction_id,order_id,payment_method,transaction_amount,transaction_date,success_flag",
+        "9.0,5,Cash,5,2023-01-02,Y",
+    ),
+    "products": ("product_id,product_name,category,unit_price,supplier_code", "1.0,A,Home,5,SUP1"),
+}
+
+
+def clean_run(spark, folder, prefix, **changed):
+    for source, name in vocab.SOURCE_FILES.items():
+        (folder / name).write_text("\n".join(changed.get(source, CLEAN[source])) + "\n")
+    return run_migration(spark, str(folder), str(folder / "out"), {s: 1 for s in CLEAN}, prefix=prefix)
+
+
+def test_clean_input(spark, tmp_path):
+    run = clean_run(spark, tmp_path, "c_")
+    assert run.bad_records.count() == 0
+    assert all(df.count() == 1 for df in run.gold.values())
+    assert run.validation.where("NOT passed").count() == 0
+
+
+def test_reordered_export(spark, tmp_path):
+    reordered = ("full_name,status,customer_id,email,signup_date,phone_number", "Ann Lee,Active,1.0,a@x.com,2023-01-02,1")
+    run = clean_run(spark, tmp_path, "r_", customers=reordered)
+    assert {s: df.count() for s, df in run.gold.items()} == dict.fromkeys(CLEAN, 1)
+    assert run.gold["customers"].first().customer_id == 1
+    assert run.bad_records.count() == 0
+
+
+def test_surplus_fields_are_counted(spark, tmp_path):
+    surplus = (CLEAN["products"][0], "1.0,Big, Lamp,Home,5,SUP1")
+    run = clean_run(spark, tmp_path, "u_", products=surplus)
+    assert [r.raw_line for r in run.uneven.collect()] == [surplus[1]]
+    assert {r.table: r.uneven_lines for r in run.summary.collect()}["bronze_products"] == 1
+
+
 def test_profile(run):
     assert run.profile.count() == 23
 
