@@ -20,7 +20,7 @@ from millrace.operators.profile import profile, profile_all  # noqa: E402
 from millrace.operators.quarantine import number_groups, number_rows  # noqa: E402
 from millrace.plans import rules, silver  # noqa: E402
 from millrace.plans.gold import gold_table, orders_by_status  # noqa: E402
-from millrace.plans.migration import BAD_RECORDS  # noqa: E402
+from millrace.plans.migration import BAD_RECORDS, Migration, run_migration  # noqa: E402
 from millrace.session import materialize, shared_dir  # noqa: E402
 from millrace.sources import landing, legacy_views  # noqa: E402
 
@@ -186,6 +186,56 @@ def _csv_header_products(spark, sf):
     )
 
 
+def _csv_reordered_customers(spark, sf):
+    """Landed by name from files whose columns come in the reverse order."""
+    path = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
+    text = _bronze("customers")(spark, sf).select(*reversed(vocab.SOURCE_COLUMNS["customers"]))
+    text.write.options(**landing.csv_options()).csv(path)
+    name = vocab.SOURCE_FILES["customers"]
+    return landing.land(spark, "customers", path, legacy_views.INGESTED_AT, legacy_views.BATCH_ID, name)
+
+
+def _csv_extra_fields(spark, sf):
+    """Lines with a field beyond the header, per file."""
+    path = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
+    surplus = F.when(F.col("product_id").like("%5.0"), F.lit("SUP,surplus")).otherwise(F.col("supplier_code"))
+    text = _bronze("products")(spark, sf).drop(*vocab.LINEAGE_COLUMNS).withColumn("supplier_code", surplus)
+    text.write.options(**landing.csv_options()).option("quote", "\u0000").csv(path)
+    lines = materialize(landing.uneven_lines(spark, "products", path), "uneven-lines")
+    return lines.groupBy("source_file").agg(F.count("*").alias("lines"))
+
+
+# One run per session and scale folder; its tables are read by several queries.
+_RUNS: dict[tuple[str, str], Migration] = {}
+
+
+def _migrated(spark: SparkSession, sf: str) -> Migration:
+    """The whole run over CSV copies of the sources, published in the shared folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _RUNS:
+        run = uuid.uuid4().hex
+        folder = f"{shared_dir(spark)}/run-{run}"
+        for source, name in vocab.SOURCE_FILES.items():
+            text = _bronze(source)(spark, sf).drop(*vocab.LINEAGE_COLUMNS)
+            text.write.options(**landing.csv_options()).csv(f"{folder}/landing/{name}")
+        expected = {r["dataset"]: r["expected"] for r in Layers(spark, sf).expected().collect()}
+        _RUNS[key] = run_migration(
+            spark,
+            f"{folder}/landing",
+            f"{folder}/tables",
+            expected,
+            legacy_views.BATCH_ID,
+            legacy_views.INGESTED_AT,
+            f"run_{run}_",
+            REJECTED_AT,
+        )
+    return _RUNS[key]
+
+
+def _published(pick: Callable[[Migration], DataFrame]):
+    return lambda spark, sf: pick(_migrated(spark, sf))
+
+
 def _load_reconciliation(spark, sf):
     layers = Layers(spark, sf)
     return checks.load_reconciliation(layers.bronze, layers.expected())
@@ -260,7 +310,10 @@ def _quarantine_ids(spark, sf):
 
 
 def _quarantine_id_ranges(spark, sf):
-    """First and last id and rows per rule, numbered where the rows lie."""
+    """First and last id, sum of ids and rows per rule, numbered where the rows lie.
+
+    Ids from first to last without a gap or a repetition have the sum they have to have.
+    """
     found = rules.quarantine_all(legacy_views.all_views(spark, sf), REJECTED_AT)
     return (
         number_groups(found, "rule")
@@ -268,7 +321,7 @@ def _quarantine_id_ranges(spark, sf):
         .agg(
             F.min("id").alias("first_id"),
             F.max("id").alias("last_id"),
-            F.count_distinct("id").alias("ids"),
+            F.sum("id").alias("id_sum"),
             F.count("*").alias("rows"),
         )
     )
@@ -326,12 +379,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[vocab.GOLD_TABLES[source]] = _gold(source)
         out[f"quarantine_{source}"] = _quarantine(source)
         out[f"profile_{source}"] = _profile(source)
+        out[f"published_{vocab.GOLD_TABLES[source]}"] = _published(lambda run, s=source: run.gold[s])
     if text_queries:
         out |= text_queries.QUERIES
     if corpus_pipeline:
         out["pipeline"] = corpus_pipeline.run
     return out | {
         "csv_header_products": _csv_header_products,
+        "csv_reordered_customers": _csv_reordered_customers,
+        "csv_extra_fields": _csv_extra_fields,
+        "published_bad_records": _published(lambda run: run.bad_records.drop("id")),
+        "published_profile": _published(lambda run: _samples_as_text(run.profile)),
+        "published_validation": _published(lambda run: run.validation),
+        "published_row_counts": _published(lambda run: run.row_counts),
+        "published_run_summary": _published(lambda run: run.summary.drop("started_at", "seconds")),
         "load_reconciliation": _load_reconciliation,
         "run_summary": _run_summary,
         "stored_fact_orders": _stored_fact_orders,

@@ -1,13 +1,12 @@
 """DuckDB statements that state each registered query independently.
 
 The checker only knows the raw test tables, so every statement starts from the legacy
-views, written here a second time in SQL. Values that are fixed by the data come from
-`millrace.vocab`; everything computed is written out in SQL.
+views, written here a second time in SQL. Values that are fixed by the data are those of
+`oracle_values`; everything computed is written out in SQL.
 """
 
-from millrace import vocab
-from millrace.plans.gold import COLUMNS as GOLD_COLUMNS
-from millrace.sources.legacy_views import BATCH_ID, INGESTED_AT
+import oracle_values as vocab
+from oracle_values import BATCH_ID, GOLD_COLUMNS, INGESTED_AT
 
 SOURCES = tuple(vocab.SOURCE_FILES)
 
@@ -126,9 +125,7 @@ def _date(c, formats):
 
 
 def _order_date(c):
-    dashed = f"TRY_STRPTIME(translate({c}, '/', '-'), '%Y-%m-%d')"
-    rest = _date(c, vocab.ORDER_SLASH_FORMATS)
-    return f"COALESCE(CAST({dashed} AS DATE), {rest})"
+    return _date(c, ("%Y-%m-%d", "%Y/%m/%d", "%d/%m/%Y", "%m/%d/%Y"))
 
 
 def _lookup(c, mapping):
@@ -139,7 +136,7 @@ def _lookup(c, mapping):
 
 
 def _currency(c):
-    return f"TRY_CAST(translate(regexp_replace(trim({c}), '^R\\s*', ''), ',', '.') AS DOUBLE)"
+    return f"TRY_CAST(replace(regexp_replace(trim({c}), '^R\\s*', ''), ',', '.') AS DOUBLE)"
 
 
 _FIRST = "trim(split_part(full_name, ' ', 1))"
@@ -436,6 +433,56 @@ def _row_counts():
     return _with(_ALL, f"SELECT *, source - gold AS dropped, bronze = source AS passed FROM ({rows})")
 
 
+# An empty text written to CSV comes back as NULL.
+_LANDED = "\nbronze_products AS (SELECT * REPLACE (NULLIF(category, '') AS category) FROM written_products)"
+
+
+def _published(select, ctes=()):
+    written = _PRODUCTS.replace("bronze_products AS (", "written_products AS (") + "," + _LANDED
+    return _with([written if c is _PRODUCTS else c for c in [*_ALL, *ctes]], select)
+
+
+def _published_statements() -> dict:
+    sql = {
+        f"published_{t}": _published(f"SELECT {', '.join(vocab.GOLD_COLUMNS[t])} FROM {t}")
+        for t in vocab.GOLD_TABLES.values()
+    }
+    sql["published_bad_records"] = _published(
+        "SELECT source_file, rejection_reason, rejected_at, raw_record FROM violations",
+        [f"\nviolations AS ({_ALL_VIOLATIONS})"],
+    )
+    profiles = [
+        _profile(s, f"""'bronze_{s}' AS "table", '{vocab.SOURCE_FILES[s]}' AS source_file, """)
+        for s in SOURCES
+    ]
+    sql["published_profile"] = _published(_union(profiles))
+    sql["published_validation"] = _published(_union([*_COUNTS, *_DUPLICATES, *_NULLS, *_REFERENCES]))
+    rows = "\nUNION ALL ".join(
+        f"SELECT '{s}' AS dataset, (SELECT count(*) FROM {_EXPECTED[s]}) AS source, "
+        f"(SELECT count(*) FROM bronze_{s}) AS bronze, (SELECT count(*) FROM {t}) AS gold"
+        for s, t in vocab.GOLD_TABLES.items()
+    )
+    sql["published_row_counts"] = _published(
+        f"SELECT *, source - gold AS dropped, bronze = source AS passed FROM ({rows})"
+    )
+    summary = "\nUNION ALL ".join(
+        f"SELECT '{BATCH_ID}' AS batch_id, 'bronze_{s}' AS \"table\", "
+        f"(SELECT count(*) FROM bronze_{s}) AS rows, CAST(0 AS BIGINT) AS uneven_lines, "
+        f"CASE WHEN (SELECT count(*) FROM bronze_{s}) = (SELECT count(*) FROM {_EXPECTED[s]}) "
+        "THEN 'OK' ELSE 'MISMATCH' END AS status"
+        for s in SOURCES
+    )
+    sql["published_run_summary"] = _published(summary)
+    # Its columns in another order in the file; a surplus field in some lines.
+    sql["csv_reordered_customers"] = _with([_CUSTOMERS], "SELECT * FROM bronze_customers")
+    sql["csv_extra_fields"] = _with(
+        [_PRODUCTS],
+        f"""SELECT '{vocab.SOURCE_FILES["products"]}' AS source_file, count(*) AS lines
+FROM bronze_products WHERE product_id LIKE '%5.0'""",
+    )
+    return sql
+
+
 def statements() -> dict:
     sql = {}
     for s in SOURCES:
@@ -519,7 +566,7 @@ FROM fact_orders GROUP BY status""",
             f"\nviolations AS ({_ALL_VIOLATIONS})",
             "\nnumbered AS (SELECT row_number() OVER (ORDER BY rule) AS id, * FROM violations)",
         ],
-        """SELECT rejection_reason, min(id) AS first_id, max(id) AS last_id, count(DISTINCT id) AS ids,
+        """SELECT rejection_reason, min(id) AS first_id, max(id) AS last_id, CAST(sum(id) AS BIGINT) AS id_sum,
   count(*) AS rows FROM numbered GROUP BY rejection_reason""",
     )
     sql["date_shape_violations"] = _with(
@@ -604,4 +651,4 @@ FROM fact_orders GROUP BY status""",
         "SELECT check_name, bool_and(passed) AS passed FROM results GROUP BY check_name "
         "UNION ALL SELECT 'overall', bool_and(passed) FROM results",
     )
-    return sql
+    return sql | _published_statements()
