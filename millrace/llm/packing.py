@@ -13,6 +13,7 @@ and over the shards' sizes, so that no class is ordered in one task.
 import functools
 import math
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -20,40 +21,78 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
+from millrace.llm.token_counts import merges_of
 from millrace.session import materialize
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY, END = 4096, 2
 STEP = 16
-# Words whose ids a worker remembers, and pieces it hands back together.
-REMEMBERED, ROWS = 150_000, 2048
+# Words whose ids a worker remembers, documents it takes together, and pieces it merges together.
+REMEMBERED, ROWS, MERGED = 500_000, 1000, 100_000
 # Pivots of the linear program at most; any basis met on the way is a valid, if looser, plan.
 PIVOTS = 20_000
 # It ends when no pattern is worth more than 1 + GAP: then it is within that share of the optimum.
 GAP = 1e-3
 
 
+# The split of the vocabulary file's own pre-tokenizer.
+_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+
 class Words:
-    """Ids of texts, word by word: the vocabulary drops white space, so no token spans two words."""
+    """Ids of texts, word by word: the vocabulary drops white space, so no token spans two words.
+
+    New words are lower-cased and split here and merged all at once; words whose normal form
+    depends on more than their letters one by one are left to the tokenizers library.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def ids(self, text: str) -> np.ndarray:
-        words = text.encode("utf-8", "replace").split()
-        new = list(set(words).difference(self.known))
-        if len(self.known) + len(new) > REMEMBERED:
+        self.tokenizer, self.merges = Tokenizer.from_file(path), merges_of(path)
+        self.known: dict[bytes, bytes] = {}
+
+    def _parts(self, word: bytes) -> list[bytes] | None:
+        """The pre-tokens of a word in their normal form; None if only the library can tell."""
+        if word.isascii():
+            lower = word.lower()
+            if lower.isalpha():
+                return [lower]
+            if lower[:-1].isalpha() and lower[-1] in b".,;:!?":
+                return [lower[:-1], lower[-1:]]
+        text = word.decode()
+        if "\u03a3" in text or self.merges.special.search(text) or not unicodedata.is_normalized("NFC", text):
+            return None
+        lower = text.lower()
+        return [lower.encode()] if lower.isalpha() else [p.encode() for p in _PIECE.findall(lower)]
+
+    def _learn(self, words: list[bytes]) -> None:
+        split = {word: self._parts(word) for word in words}
+        pieces = list({p for parts in split.values() if parts for p in parts})
+        found: dict[bytes, bytes] = {}
+        for start in range(0, len(pieces), MERGED):
+            some = pieces[start : start + MERGED]
+            symbols, counts = self.merges.merge(some)
+            data, ends = symbols.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+            found.update({p: data[i:j] for p, i, j in zip(some, [0, *ends[:-1]], ends, strict=True)})
+        for word, parts in split.items():
+            if parts is None:
+                ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+                self.known[word] = np.array(ids, "<u4").tobytes()
+            else:
+                self.known[word] = found[parts[0]] if len(parts) == 1 else b"".join([found[p] for p in parts])
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        split = [text.encode("utf-8", "replace").split() for text in texts]
+        if len(self.known) > REMEMBERED:
             self.known.clear()
-            new = list(set(words))
-        encoded = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        self.known.update(zip(new, (tuple(e.ids) for e in encoded), strict=True))
-        return np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), "<u4")
+        self._learn(list(set().union(*split).difference(self.known)))
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4") for words in split]
 
 
 @functools.lru_cache(maxsize=4)
@@ -79,17 +118,18 @@ def pieces(
             return pa.RecordBatch.from_pylist(held, schema=PIECES)
 
         for batch in batches:
-            for row_id, doc_id, text in zip(*(batch[n] for n in ("row_id", "doc_id", "text")), strict=True):
-                ids = np.append(codec.ids(text.as_py() or ""), np.array(end, "<u4"))
-                for start in range(0, len(ids), capacity):
-                    part = ids[start : start + capacity]
-                    values = (row_id.as_py(), doc_id.as_py(), start, len(part), zlib.crc32(part.tobytes()), len(ids))
-                    held.append(dict(zip(PIECES.names, (*values, part if with_ids else None), strict=True)))
-                if len(held) >= ROWS:
-                    yield hand_back()
-                    held = []
-        if held:
-            yield hand_back()
+            for first in range(0, len(batch), ROWS):
+                rows = batch.slice(first, ROWS)
+                row_ids, doc_ids, texts = (rows[n].to_pylist() for n in ("row_id", "doc_id", "text"))
+                all_ids = codec.ids([text or "" for text in texts])
+                for row_id, doc_id, ids in zip(row_ids, doc_ids, all_ids, strict=True):
+                    ids = np.append(ids, np.array(end, "<u4"))
+                    for start in range(0, len(ids), capacity):
+                        part = ids[start : start + capacity]
+                        values = (row_id, doc_id, start, len(part), zlib.crc32(part), len(ids))
+                        held.append(dict(zip(PIECES.names, (*values, part if with_ids else None), strict=True)))
+                yield hand_back()
+                held = []
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("row_id"),

@@ -43,9 +43,10 @@ class Merges:
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         vocabulary, merges = content["model"]["vocab"], content["model"]["merges"]
-        self.of_byte = np.zeros(256, np.int64)
+        suffix = content["model"]["end_of_word_suffix"] or ""
+        self.of_byte, self.of_last = np.zeros(256, np.int64), np.zeros(256, np.int64)
         for letter, byte in byte_letters().items():
-            self.of_byte[byte] = vocabulary[letter]
+            self.of_byte[byte], self.of_last[byte] = vocabulary[letter], vocabulary[letter + suffix]
         pairs = [tuple(m.split(" ") if isinstance(m, str) else m) for m in merges]
         keys = np.array([(vocabulary[a] << 32) | vocabulary[b] for a, b in pairs], np.int64)
         order = np.argsort(keys, kind="stable")
@@ -60,11 +61,13 @@ class Merges:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], _NONE)
 
-    def symbols(self, words: list[bytes]) -> np.ndarray:
-        """Number of symbols that each non-empty word ends with."""
-        counts = np.zeros(len(words), np.int64)
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols that non-empty words end with, one word after another, and their numbers."""
+        counts, ended = np.zeros(len(words), np.int64), []
         lengths = np.array([len(w) for w in words], np.int64)
-        symbol = self.of_byte[np.frombuffer(b"".join(words), np.uint8)]
+        data = np.frombuffer(b"".join(words), np.uint8)
+        symbol, last = self.of_byte[data], np.cumsum(lengths) - 1
+        symbol[last] = self.of_last[data[last]]
         word = np.repeat(np.arange(len(words)), lengths)
         rank = np.full(len(symbol), _NONE)
         inside = np.flatnonzero(word[:-1] == word[1:])
@@ -77,6 +80,7 @@ class Merges:
             if done.any():
                 counts[word[first[done]]] = size[done]
                 keep = np.repeat(~done, size)
+                ended.append((word[~keep], symbol[~keep]))
                 symbol, word, rank = symbol[keep], word[keep], rank[keep]
                 size, lowest = size[~done], lowest[~done]
                 if not len(symbol):
@@ -96,7 +100,8 @@ class Merges:
             changed = changed[changed + 1 < len(word)]
             changed = changed[word[changed] == word[changed + 1]]
             rank[changed] = self.rank(symbol[changed], symbol[changed + 1])
-        return counts
+        owner, symbols = (np.concatenate(c) for c in zip(*ended, strict=True))
+        return symbols[np.argsort(owner, kind="stable")], counts
 
     def _learn(self, stretches: list[str]) -> dict[str, int]:
         """Counts of stretches, their pre-tokens merged in blocks of bounded size."""
@@ -119,7 +124,7 @@ class Merges:
         return found | self._totals(names, words, owner) if names else found
 
     def _totals(self, names: list[str], words: list[bytes], owner: list[int]) -> dict[str, int]:
-        totals = np.bincount(owner, weights=self.symbols(words), minlength=len(names))
+        totals = np.bincount(owner, weights=self.merge(words)[1], minlength=len(names))
         return dict(zip(names, totals.astype(np.int64).tolist(), strict=True))
 
     def count(self, texts: list[str | None]) -> list[int]:
