@@ -20,7 +20,7 @@ import oracles  # noqa: E402
 from millrace import functions as fn  # noqa: E402
 from millrace import vocab  # noqa: E402
 from millrace.operators import checks, dedup, references  # noqa: E402
-from millrace.operators.profile import profile, profile_all  # noqa: E402
+from millrace.operators.profile import approximate_profile, profile, profile_all  # noqa: E402
 from millrace.operators.quarantine import number_groups, number_rows  # noqa: E402
 from millrace.plans import rules, silver  # noqa: E402
 from millrace.plans.gold import gold_table, orders_by_status  # noqa: E402
@@ -157,6 +157,11 @@ def _profile(source):
     return lambda spark, sf: _samples_as_text(profile(_bronze(source)(spark, sf)))
 
 
+def _profile_counts(spark, sf):
+    """The exact part of the one-pass profile of the largest source."""
+    return approximate_profile(_bronze("transactions")(spark, sf)).select("column", "total", "nulls", "null_pct")
+
+
 def _samples_as_text(df: DataFrame) -> DataFrame:
     return df.withColumn("samples", F.concat_ws(", ", "samples"))
 
@@ -455,6 +460,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "profile_all": lambda spark, sf: _samples_as_text(
             profile_all(legacy_views.all_views(spark, sf))
         ),
+        "profile_counts": _profile_counts,
         "row_counts": _stored(lambda x: checks.row_counts(x.expected(), x.bronze, x.gold)),
         "duplicate_keys": _stored(lambda x: checks.duplicate_check(x.gold)),
         "duplicate_key_rows": lambda spark, sf: checks.duplicate_keys(

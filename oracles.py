@@ -616,6 +616,9 @@ FROM fact_orders GROUP BY status""",
     sql["to_int"] = shown("transactions", "order_id", "TRY_CAST(order_id AS INT) AS value")
 
     sql["profile_all"] = _profile_all()
+    sql["profile_counts"] = _with(
+        [_TRANSACTIONS], f'SELECT "column", total, nulls, null_pct FROM ({_profile("transactions")})'
+    )
     sql["row_counts"] = _row_counts()
     sql["duplicate_keys"] = _with(_ALL, _union(_DUPLICATES))
     sql["duplicate_key_rows"] = _with(
