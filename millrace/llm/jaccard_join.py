@@ -14,10 +14,14 @@ than one: the chance that none of its common shingles is under the rate is below
 exp(-0.857 * PER_BAND), 1.3e-12 for a link, the same for any data. Verification always covers all
 shingles. A set is sketched in its own band and, if a linked set may lie there, the one below.
 
+A second sketch of `BITS` parity bits, one flipped per shingle, drops pairs before their texts are
+fetched: its Hamming distance, too, is at most the symmetric difference, whatever the size.
+
 Keys that many sets share (a licence line, a family of copies) never give all pairs. A set with
 enough other keys needs none of them: the pigeonhole holds for those. Sets that have not are linked
-to one pivot per key and to further ones in later rounds; only sets that still are in another
-component than a key's other sets are compared with these one by one.
+to one pivot per key. Those that are still outside a key's largest component are compared, in blocks
+and by parity bits first, with the sets of their band that share frequent keys; a set yields at most
+one link to each other component of a block.
 """
 
 from collections.abc import Iterator
@@ -37,8 +41,8 @@ PERCENT = 75
 PER_BAND, WORDS = 32, 256
 # A key of more sets is frequent: no list of all its sets is made.
 FREQUENT = 32
-# Pivot rounds before sets of frequent keys are compared one by one.
-ROUNDS = 3
+# Parity bits of the second sketch, and sets in a block of those that are compared directly.
+BITS, BLOCK_SETS = 2048, 4096
 # Words tokenised and hashed at a time, and rows handed back together.
 BLOCK, ROWS = 200_000, 1024
 
@@ -124,9 +128,16 @@ def sketch_keys(hashes: np.ndarray, band: int) -> np.ndarray:
     return ((keys & ~np.uint64(63)) | np.uint64(band)).view(np.int64)
 
 
+def parity_bits(hashes: np.ndarray) -> np.ndarray:
+    """BITS bits as signed 64-bit numbers, each the parity of the shingles that picked it."""
+    place = (_mix(hashes ^ _M1) >> np.uint64(40)) % np.uint64(BITS)
+    odd = np.bincount(place.astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 SKETCHES = pa.schema(
     [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("node", pa.int64())]
-    + [("keys", pa.list_(pa.int64()))]
+    + [("keys", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))]
 )
 
 
@@ -136,7 +147,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, len(batch), ROWS):
             part = batch.slice(start, ROWS)
-            out = {"n": [], "node": [], "keys": []}
+            out = {"n": [], "node": [], "keys": [], "bits": []}
             for hashes in shingle_sets(part["text"].to_pylist()):
                 n = len(hashes)
                 node = signature(hashes) if n else None
@@ -144,6 +155,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out["node"].append(node)
                 new = n and node not in seen
                 out["keys"].append(np.concatenate([sketch_keys(hashes, b) for b in bands(n)]) if new else None)
+                out["bits"].append(parity_bits(hashes) if new else None)
                 seen.add(node)
             arrays = [part["doc_id"], part["text_hash"], *out.values()]
             typed = [pa.array(a, f.type) if isinstance(a, list) else a for a, f in zip(arrays, SKETCHES, strict=True)]
@@ -176,29 +188,37 @@ def _pairs_within(lists: DataFrame) -> DataFrame:
     return lists.select(F.explode_outer(pairs).alias("pair")).select("pair.a", "pair.b").distinct()
 
 
-class Verifier:
-    """Texts of sets, and the test of pairs of sets on all their shingles."""
+def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs whose parity bits and sizes allow a link: nothing that is linked is dropped."""
+    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
+    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
+    differing = F.aggregate(
+        F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
+    )
+    sized = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
+    close = (100 + PERCENT) * differing <= (100 - PERCENT) * (F.col("n_a") + F.col("n_b"))
+    found = pairs.join(a, "a").join(b, "b").where(sized).where(close)
+    return materialize(found.select("a", "b"), "near-pairs")
+
+
+def _texts(named: DataFrame, nodes: DataFrame, involved: DataFrame) -> DataFrame:
+    """(node, text): for each involved set the text of its first document."""
+    rows = nodes.join(involved.distinct(), "node").select("node", F.col("row.doc_id").alias("doc_id"), "row.text_hash")
+    same = F.col("r.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("r.text_hash") == F.col("t.text_hash"))
+    found = rows.alias("r").join(named.alias("t"), same).groupBy("node").agg(F.first("text").alias("text"))
+    return materialize(found, "set-texts")
 
-    def __init__(self, docs: DataFrame, nodes: DataFrame, involved: DataFrame):
-        """One text for each involved set: that of its first document."""
-        rows = nodes.join(involved, "node").select("node", "n", F.col("row.doc_id").alias("doc_id"), "row.text_hash")
-        texts = docs.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"))
-        found = rows.alias("r").join(
-            texts.alias("t"),
-            F.col("r.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("r.text_hash") == F.col("t.text_hash")),
-        )
-        self.texts = materialize(found.select("node", "n", "text"), "set-texts")
 
-    def linked(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are linked; sizes are compared before texts are fetched."""
-        sizes = self.texts.select("node", "n")
-        a, b = sizes.toDF("a", "size_a"), sizes.toDF("b", "size_b")
-        near = 100 * F.least("size_a", "size_b") >= PERCENT * F.greatest("size_a", "size_b")
-        sized = pairs.join(a, "a").join(b, "b").where(near).select("a", "b")
-        text = self.texts.select("node", "text")
-        both = sized.join(text.toDF("b", "text_b"), "b").join(text.toDF("a", "text_a"), "a")
-        tested = both.select("a", "b", "text_a", "text_b").mapInArrow(_tested, "a long, b long, linked boolean")
-        return materialize(tested.where("linked").select("a", "b"), "links")
+def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are linked, by their whole sets."""
+    both = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
+    tested = both.select("a", "b", "text_a", "text_b").mapInArrow(_tested, "a long, b long, linked boolean")
+    return materialize(tested.where("linked").select("a", "b"), "links")
+
+
+def _are_linked(a: np.ndarray, b: np.ndarray) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= PERCENT * (len(a) + len(b) - common)
 
 
 def _tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,10 +227,8 @@ def _tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, text_a, text_b in zip(*(batch[c].to_pylist() for c in ("a", "text_a", "text_b")), strict=True):
             if set_a is None or a != last:
                 last, set_a = a, next(shingle_sets([text_a]))
-            set_b = next(shingle_sets([text_b]))
-            common = len(np.intersect1d(set_a, set_b, assume_unique=True))
-            linked.append(100 * common >= PERCENT * (len(set_a) + len(set_b) - common))
-        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(linked)], ["a", "b", "linked"])
+            linked.append(_are_linked(set_a, next(shingle_sets([text_b]))))
+        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -236,46 +254,81 @@ def components(links: DataFrame) -> DataFrame:
     return edges.toDF("node", "component").union(edges.select("v", "v").distinct())
 
 
-def _common_links(shared: DataFrame, verifier: Verifier, links: DataFrame) -> DataFrame:
-    """Links among sets that share frequent keys (`shared`: key, node), added to `links`."""
-    tested = None
-    for turn in range(ROUNDS + 1):
-        found = components(links)
-        labelled = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        labelled = materialize(
-            labelled.join(mixed.where("low < high").select("key"), "key"), "shared-keys"
-        )
-        if labelled.isEmpty():
-            break
-        if turn < ROUNDS:
-            # One pivot per key, another one each time.
-            draw = F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")
-            others = labelled.groupBy("key").agg(F.min(draw).alias("pivot")).select("key", F.col("pivot.node").alias("other"), F.col("pivot.component").alias("other_component"))
-            one = labelled
-        else:
-            # Sets outside the largest component of a key, against all of the key.
-            sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("size"))
-            main = sizes.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"))
-            one = labelled.join(main, "key").where("component <> main").drop("main")
-            others = labelled.withColumnsRenamed({"node": "other", "component": "other_component"})
-        met = one.join(others, "key").where(F.col("component") != F.col("other_component"))
-        pairs = met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        pairs = materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        links = links.union(verifier.linked(pairs))
-    return links
+def _compared(ones: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+    """For each set of one block a link to each other component of the other block, if there is one."""
+    found = []
+    if len(ones) and len(others):
+        sets, bits = list(shingle_sets(others["text"].tolist())), np.stack(others["bits"].tolist()).view(np.uint64)
+        sizes, nodes, labels = (others[c].to_numpy() for c in ("n", "node", "component"))
+        for node, label, n, row, one in zip(
+            ones["node"], ones["component"], ones["n"], ones["bits"], shingle_sets(ones["text"].tolist()), strict=True
+        ):
+            fits = (labels != label) & (100 * np.minimum(sizes, n) >= PERCENT * np.maximum(sizes, n))
+            at = np.flatnonzero(fits)
+            differing = np.bitwise_count(bits[at] ^ np.asarray(row).view(np.uint64)).sum(axis=1, dtype=np.int64)
+            close = (100 + PERCENT) * differing <= (100 - PERCENT) * (sizes[at] + n)
+            done = set()
+            for i in at[close][np.argsort(differing[close], kind="stable")]:
+                if labels[i] not in done and _are_linked(one, sets[i]):
+                    done.add(labels[i])
+                    found.append((min(node, nodes[i]), max(node, nodes[i])))
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+def _blocked(rows: DataFrame, name: str, blocks: dict[int, int], other: str, others: dict[int, int]) -> DataFrame:
+    """Each set in its block of its band, once for each block of the others in that band."""
+
+    def of_band(numbers):
+        return F.element_at(F.create_map(*[F.lit(v) for b, n in numbers.items() for v in (b, n)]), F.col("band"))
+
+    each = F.explode(F.sequence(F.lit(0), of_band(others) - 1))
+    placed = rows.withColumn(name, F.pmod(F.xxhash64("node"), of_band(blocks)).cast("int"))
+    made = placed.withColumn(other, each)
+    # Columns of their own, since the two sides of a cogroup come from the same sets.
+    return made.toDF(*made.columns)
+
+
+def _common_links(shared: DataFrame, nodes: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
+    """Links among sets that share frequent keys (`shared`: key, band, node), added to `links`."""
+    pivots = shared.groupBy("key").agg(F.min("node").alias("a"))
+    pairs = shared.join(pivots, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    links = links.union(_linked(_near(pairs, nodes), texts))
+
+    labelled = shared.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = materialize(labelled, "labelled-keys")
+    sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("key").agg(
+        F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("kinds")
+    )
+    mixed = labelled.join(main.where("kinds > 1"), "key")
+    sets = mixed.groupBy("node", "band", "component").agg(F.bool_or(F.col("component") != F.col("main")).alias("outside"))
+    sets = materialize(sets, "outside-sets")
+    # Counts per band, of which there are at most 64.
+    counts = sets.groupBy("band").agg(F.count("*").alias("all"), F.count_if("outside").alias("outside")).collect()
+    blocks = {r["band"]: -(-r["all"] // BLOCK_SETS) for r in counts}
+    outside = {r["band"]: -(-r["outside"] // BLOCK_SETS) for r in counts}
+    if not counts:
+        return links
+    full = sets.join(nodes.select("node", "n", "bits"), "node").join(texts, "node")
+    ones = _blocked(full.where("outside"), "one", outside, "other", blocks)
+    others = _blocked(full, "other", blocks, "one", outside)
+    groups = ["band", "one", "other"]
+    found = ones.groupBy(*groups).cogroup(others.groupBy(*groups)).applyInPandas(_compared, "a long, b long")
+    return links.union(materialize(found.distinct(), "links"))
 
 
 def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """doc_id, text_hash, n and the component of each document, null for one without shingles."""
     named = _named(docs, id_column, text_column)
-    schema = "doc_id long, text_hash long, n long, node long, keys array<long>"
+    schema = "doc_id long, text_hash long, n long, node long, keys array<long>, bits array<long>"
     sketches = materialize(named.mapInArrow(_sketched, schema), "sketches")
     sets = sketches.where("node IS NOT NULL")
     nodes = materialize(
         sets.groupBy("node").agg(
-            F.max("n").alias("n"), F.min(_row()).alias("row"), F.first("keys", ignorenulls=True).alias("keys")
+            F.max("n").alias("n"),
+            F.min(_row()).alias("row"),
+            F.first("keys", ignorenulls=True).alias("keys"),
+            F.first("bits", ignorenulls=True).alias("bits"),
         ),
         "sets",
     )
@@ -285,7 +338,7 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     members = keyed.join(shared, "key")
 
     lists = members.where(F.col("sets") <= FREQUENT).groupBy("key").agg(F.array_sort(F.collect_list("node")).alias("members"))
-    pairs = materialize(_pairs_within(lists.select("members").distinct()), "pairs")
+    pairs = _near(_pairs_within(lists.select("members").distinct()), nodes)
 
     frequent = keyed.join(shared.where(F.col("sets") > FREQUENT).select("key"), "key").withColumn("band", F.col("key").bitwiseAND(63))
     frequent = materialize(frequent, "frequent-keys")
@@ -294,13 +347,13 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
         "node", "band", "hot", "n", F.size(F.filter("keys", lambda k: k.bitwiseAND(63) == F.col("band"))).alias("all")
     )
     dependent = totals.where(F.col("all") - F.col("hot") < _needed(F.col("n"))).select("node", "band")
-    common = materialize(frequent.join(dependent, ["node", "band"]).select("key", "node"), "common")
+    common = materialize(frequent.join(dependent, ["node", "band"]).select("key", "band", "node"), "common")
 
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(common.select("node")).distinct()
-    verifier = Verifier(named, nodes, involved)
-    links = verifier.linked(pairs)
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(common.select("node"))
+    texts = _texts(named, nodes, involved)
+    links = _linked(pairs, texts)
     if not common.isEmpty():
-        links = _common_links(common, verifier, links)
+        links = _common_links(common, nodes, texts, links)
     out = sketches.select("doc_id", "text_hash", "n", "node").join(components(links), "node", "left")
     return materialize(out.withColumn("component", F.coalesce("component", "node")), "components")
 
