@@ -119,7 +119,7 @@ def sketch_keys(hashes: np.ndarray, band: int) -> np.ndarray:
     if not len(hashes):
         return np.zeros(0, np.int64)
     # Small sets get so many words that two of their shingles hardly ever share one.
-    place = _mix(hashes + _GOLD) >> np.uint64(32 if band < 4 else 56)
+    place = _mix(hashes + _GOLD) >> np.uint64(32 if band < 4 else 65 - WORDS.bit_length())
     order = np.argsort(place, kind="stable")
     place, content = place[order], _mix(hashes[order] ^ _M2)
     first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
@@ -158,13 +158,15 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out["bits"].append(parity_bits(hashes) if new else None)
                 seen.add(node)
             arrays = [part["doc_id"], part["text_hash"], *out.values()]
-            typed = [pa.array(a, f.type) if isinstance(a, list) else a for a, f in zip(arrays, SKETCHES, strict=True)]
+            typed = zip(arrays, SKETCHES, strict=True)
+            typed = [pa.array(a, f.type) if isinstance(a, list) else a for a, f in typed]
             yield pa.RecordBatch.from_arrays(typed, schema=SKETCHES)
 
 
 def _named(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     text = F.col(text_column)
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    doc_id = F.col(id_column).cast("long").alias("doc_id")
+    return docs.select(doc_id, F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
 def _row() -> Column:
@@ -179,12 +181,12 @@ def _needed(n: Column) -> Column:
 
 def _pairs_within(lists: DataFrame) -> DataFrame:
     """Pairs (a < b) of members of short lists, each once."""
-    pairs = F.flatten(
-        F.transform(
-            "members",
-            lambda a, i: F.transform(F.slice("members", i + 2, FREQUENT), lambda b: F.struct(a.alias("a"), b.alias("b"))),
-        )
-    )
+
+    def with_later(a: Column, place: Column) -> Column:
+        later = F.slice("members", place + 2, FREQUENT)
+        return F.transform(later, lambda b: F.struct(a.alias("a"), b.alias("b")))
+
+    pairs = F.flatten(F.transform("members", with_later))
     return lists.select(F.explode_outer(pairs).alias("pair")).select("pair.a", "pair.b").distinct()
 
 
@@ -203,7 +205,7 @@ def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _texts(named: DataFrame, nodes: DataFrame, involved: DataFrame) -> DataFrame:
     """(node, text): for each involved set the text of its first document."""
-    rows = nodes.join(involved.distinct(), "node").select("node", F.col("row.doc_id").alias("doc_id"), "row.text_hash")
+    rows = nodes.join(involved.distinct(), "node").select("node", "row.doc_id", "row.text_hash")
     same = F.col("r.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("r.text_hash") == F.col("t.text_hash"))
     found = rows.alias("r").join(named.alias("t"), same).groupBy("node").agg(F.first("text").alias("text"))
     return materialize(found, "set-texts")
@@ -237,16 +239,16 @@ def components(links: DataFrame) -> DataFrame:
     Alternates large-star and small-star steps; each step is stored, so no plan or recomputation
     grows, and neighbours are only ever combined to a minimum.
     """
-    edges, before = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"), None
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    edges, before = materialize(edges, "edges"), None
     while True:
         both = edges.select("u", "v").union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
+        larger = both.join(least, "u").where(F.col("v") > F.col("u"))
+        large = larger.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(lowest, "u")
-        small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(lowest.select("u", "m"))
-        edges = materialize(small.distinct(), "edges")
+        others = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = materialize(others.union(lowest.select("u", "m")).distinct(), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
@@ -294,14 +296,15 @@ def _common_links(shared: DataFrame, nodes: DataFrame, texts: DataFrame, links:
     pairs = shared.join(pivots, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
     links = links.union(_linked(_near(pairs, nodes), texts))
 
-    labelled = shared.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    labelled = materialize(labelled, "labelled-keys")
+    labelled = shared.join(components(links), "node", "left")
+    labelled = materialize(labelled.withColumn("component", F.coalesce("component", "node")), "labelled-keys")
     sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("size"))
     main = sizes.groupBy("key").agg(
         F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("kinds")
     )
     mixed = labelled.join(main.where("kinds > 1"), "key")
-    sets = mixed.groupBy("node", "band", "component").agg(F.bool_or(F.col("component") != F.col("main")).alias("outside"))
+    outside = F.bool_or(F.col("component") != F.col("main")).alias("outside")
+    sets = mixed.groupBy("node", "band", "component").agg(outside)
     sets = materialize(sets, "outside-sets")
     # Counts per band, of which there are at most 64.
     counts = sets.groupBy("band").agg(F.count("*").alias("all"), F.count_if("outside").alias("outside")).collect()
@@ -337,11 +340,13 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     shared = materialize(counted.where("sets > 1"), "shared-keys")
     members = keyed.join(shared, "key")
 
-    lists = members.where(F.col("sets") <= FREQUENT).groupBy("key").agg(F.array_sort(F.collect_list("node")).alias("members"))
+    # At most FREQUENT members in a list.
+    listed = F.array_sort(F.collect_list("node")).alias("members")
+    lists = members.where(F.col("sets") <= FREQUENT).groupBy("key").agg(listed)
     pairs = _near(_pairs_within(lists.select("members").distinct()), nodes)
 
-    frequent = keyed.join(shared.where(F.col("sets") > FREQUENT).select("key"), "key").withColumn("band", F.col("key").bitwiseAND(63))
-    frequent = materialize(frequent, "frequent-keys")
+    frequent = keyed.join(shared.where(F.col("sets") > FREQUENT).select("key"), "key")
+    frequent = materialize(frequent.withColumn("band", F.col("key").bitwiseAND(63)), "frequent-keys")
     hot = frequent.groupBy("node", "band").agg(F.count("*").alias("hot"))
     totals = nodes.join(hot, "node").select(
         "node", "band", "hot", "n", F.size(F.filter("keys", lambda k: k.bitwiseAND(63) == F.col("band"))).alias("all")

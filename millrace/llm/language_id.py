@@ -51,7 +51,8 @@ def buckets(text: str) -> Iterator[np.ndarray]:
     data = np.frombuffer(f" {text.lower()} ".encode("utf-8", "replace"), np.uint8)
     for start in range(0, len(data) - 2, BLOCK):
         part = data[start : start + BLOCK + 2].astype(np.uint32)
-        mixed = part[:-2] * np.uint32(0x9E3779B1) + part[1:-1] * np.uint32(0x85EBCA77) + part[2:] * np.uint32(0xC2B2AE3D)
+        first, second, third = part[:-2], part[1:-1], part[2:]
+        mixed = first * np.uint32(0x9E3779B1) + second * np.uint32(0x85EBCA77) + third * np.uint32(0xC2B2AE3D)
         yield (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(19)
 
 

@@ -71,7 +71,8 @@ def remove_repeated_chunks(docs: DataFrame, id_column: str = "doc_id", text_colu
     result. Lines end at line feeds; every other byte, blank lines too, belongs to its line.
     """
     text = F.col(text_column)
-    named = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    name = [F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark")]
+    named = docs.select(*name, text.alias("text"))
     occurrences = _occurrences(_chunked(named, F.col("text")))
     repeated = materialize(_repeated(occurrences), "repeated-chunks")
     here = F.struct("doc_id", "mark", "place")
@@ -83,9 +84,7 @@ def remove_repeated_chunks(docs: DataFrame, id_column: str = "doc_id", text_colu
         .groupBy("doc_id", "mark")
         .agg(F.collect_set("place").alias("gone"))
     )
-    own = docs.select(
-        F.struct("*").alias("document"), F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark")
-    )
+    own = docs.select(F.struct("*").alias("document"), *name)
     both = own.alias("d").join(
         removed.alias("r"),
         F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.mark") == F.col("r.mark")),

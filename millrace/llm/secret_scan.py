@@ -177,9 +177,8 @@ def _tested(text: Column) -> Column:
     @F.pandas_udf("array<struct<length:int,bin:int>>")
     def tested(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series(
-                [[(length_class(e - s), p_bin(p)) for s, e, p in candidates(t or "", base_spans(t or ""))] for t in texts]
-            )
+            found = (candidates(text, base_spans(text)) for text in (t or "" for t in texts))
+            yield pd.Series([[(length_class(e - s), p_bin(p)) for s, e, p in runs] for runs in found])
 
     return tested(text)
 

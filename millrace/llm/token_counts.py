@@ -164,7 +164,8 @@ def token_count(text: Column, path: str | None = None) -> Column:
         merges = merges_of(path)
         for texts in batches:
             rows = texts.tolist()
-            yield pd.Series([n for i in range(0, len(rows), TEXTS) for n in merges.count(rows[i : i + TEXTS])], dtype="int64")
+            parts = (merges.count(rows[i : i + TEXTS]) for i in range(0, len(rows), TEXTS))
+            yield pd.Series([n for part in parts for n in part], dtype="int64")
 
     return count(text)
 
