@@ -59,12 +59,6 @@ class Words:
 
     def _parts(self, word: bytes) -> list[bytes] | None:
         """The pre-tokens of a word in their normal form; None if only the library can tell."""
-        if word.isascii():
-            lower = word.lower()
-            if lower.isalpha():
-                return [lower]
-            if lower[:-1].isalpha() and lower[-1] in b".,;:!?":
-                return [lower[:-1], lower[-1:]]
         text = word.decode()
         if "\u03a3" in text or self.merges.special.search(text) or not unicodedata.is_normalized("NFC", text):
             return None
@@ -72,20 +66,27 @@ class Words:
         return [lower.encode()] if lower.isalpha() else [p.encode() for p in _PIECE.findall(lower)]
 
     def _learn(self, words: list[bytes]) -> None:
-        split = {word: self._parts(word) for word in words}
-        pieces = list({p for parts in split.values() if parts for p in parts})
+        # ASCII letters are one pre-token, with one sign after them two; isalpha() of bytes is ASCII's.
+        letters = {word: word.lower() for word in words if word.isalpha()}
+        signed = [w for w in words if w not in letters and w[-1] in b".,;:!?" and w[:-1].isalpha()]
+        ended = {word: word[:-1].lower() for word in signed}
+        split = {word: self._parts(word) for word in words if word not in letters and word not in ended}
+        pieces = {*letters.values(), *ended.values(), *(w[-1:] for w in ended)}
+        pieces = list(pieces.union(*(parts for parts in split.values() if parts)))
         found: dict[bytes, bytes] = {}
         for start in range(0, len(pieces), MERGED):
             some = pieces[start : start + MERGED]
             symbols, counts = self.merges.merge(some)
             data, ends = symbols.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
             found.update({p: data[i:j] for p, i, j in zip(some, [0, *ends[:-1]], ends, strict=True)})
+        self.known.update({word: found[piece] for word, piece in letters.items()})
+        self.known.update({word: found[piece] + found[word[-1:]] for word, piece in ended.items()})
         for word, parts in split.items():
             if parts is None:
                 ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
                 self.known[word] = np.array(ids, "<u4").tobytes()
             else:
-                self.known[word] = found[parts[0]] if len(parts) == 1 else b"".join([found[p] for p in parts])
+                self.known[word] = b"".join([found[p] for p in parts])
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         split = [text.encode("utf-8", "replace").split() for text in texts]
