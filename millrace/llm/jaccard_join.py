@@ -18,12 +18,15 @@ A second sketch of `BITS` parity bits, one flipped per shingle, drops pairs befo
 fetched: its Hamming distance, too, is at most the symmetric difference, whatever the size.
 
 Keys that many sets share (a licence line, a family of copies) never give all pairs. A set with
-enough other keys needs none of them: the pigeonhole holds for those. Sets that have not are linked
+enough other keys needs none of them: the pigeonhole holds for those, in sampled bands by a tail
+bound that lets all changed shingles be the set's own rare ones. Sets that have not are linked
 to one pivot per key. Those that are still outside a key's largest component are compared, in blocks
 and by parity bits first, with the sets of their band that share frequent keys; a set yields at most
 one link to each other component of a block.
 """
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +44,8 @@ PERCENT = 75
 PER_BAND, WORDS = 32, 256
 # A key of more sets is frequent: no list of all its sets is made.
 FREQUENT = 32
+# Chance that a set with enough keys that are not frequent shares none of them with a linked one.
+LOST = 1e-12
 # Parity bits of the second sketch, and sets in a block of those that are compared directly.
 BITS, BLOCK_SETS = 2048, 4096
 # Words tokenised and hashed at a time, and rows handed back together.
@@ -111,11 +116,56 @@ def bands(n: int) -> list[int]:
     return [own, own - 1] if below else [own]
 
 
-def sketch_keys(hashes: np.ndarray, band: int) -> np.ndarray:
-    """A key per non-empty word: a hash of band, place and content; its low 6 bits are the band."""
+def sampled(hashes: np.ndarray, band: int) -> np.ndarray:
+    """The shingles that are sketched in a band."""
     if 2**band > PER_BAND:
         limit = np.uint64((PER_BAND << 64) // 2**band)
         hashes = hashes[: np.searchsorted(hashes, limit)]
+    return hashes
+
+
+@functools.lru_cache(maxsize=None)
+def _bound(sketched: int, expected: int) -> int:
+    """More keys than a linked set may lack of a set with so many sketched shingles, but for LOST.
+
+    Of a set's shingles a linked set lacks a share of at most a quarter; with the share it lacks,
+    its own further ones (`expected` would be all of the set) come to at most (1 - 4 share) / 3. A
+    key changes by a lacking shingle or by a further one that picks its word.
+    """
+    low, high = 1, sketched + 1
+    while low < high:
+        need = (low + high) // 2
+        if max(_tail(need, sketched, share / 40, expected) for share in range(11)) < LOST:
+            high = need
+        else:
+            low = need + 1
+    return low
+
+
+def _tail(need: int, sketched: int, share: float, expected: int) -> float:
+    """Chance that binomially many lacking and Poisson many further shingles change `need` keys."""
+    log = math.lgamma
+    k = range(sketched + 1) if share else range(1)
+    odds = [math.log(share), math.log(1 - share)] if share else [0, 0]
+    ways = [log(sketched + 1) - log(i + 1) - log(sketched - i + 1) if share else 0.0 for i in k]
+    lacking = np.exp([w + i * odds[0] + (sketched - i) * odds[1] for i, w in zip(k, ways, strict=True)])
+    mean = max(expected * (1 - 4 * share) / 3 * min(need / WORDS, 1), 1e-300)
+    further = np.exp([i * math.log(mean) - mean - log(i + 1) for i in range(need + 100)])
+    return float(np.convolve(lacking, further)[need:].sum())
+
+
+def needed(n: int, sketched: int, band: int) -> int:
+    """So many keys that are not frequent find every link of a set: the pigeonhole's bound and one
+    more, or in sampled bands, where the difference is a matter of chance, its tail bound."""
+    if 2**band <= PER_BAND:
+        return n * (100 - PERCENT) // PERCENT + 1
+    # The expected number in steps of PER_BAND, for few bounds to be computed.
+    return _bound(sketched, PER_BAND * -(-n // 2**band))
+
+
+def sketch_keys(hashes: np.ndarray, band: int) -> np.ndarray:
+    """A key per non-empty word: a hash of band, place and content; its low 6 bits are the band."""
+    hashes = sampled(hashes, band)
     if not len(hashes):
         return np.zeros(0, np.int64)
     # Small sets get so many words that two of their shingles hardly ever share one.
@@ -137,7 +187,7 @@ def parity_bits(hashes: np.ndarray) -> np.ndarray:
 
 SKETCHES = pa.schema(
     [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("node", pa.int64())]
-    + [("keys", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))]
+    + [("keys", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64())), ("needed", pa.list_(pa.int64()))]
 )
 
 
@@ -147,7 +197,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, len(batch), ROWS):
             part = batch.slice(start, ROWS)
-            out = {"n": [], "node": [], "keys": [], "bits": []}
+            out = {"n": [], "node": [], "keys": [], "bits": [], "needed": []}
             for hashes in shingle_sets(part["text"].to_pylist()):
                 n = len(hashes)
                 node = signature(hashes) if n else None
@@ -156,6 +206,8 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 new = n and node not in seen
                 out["keys"].append(np.concatenate([sketch_keys(hashes, b) for b in bands(n)]) if new else None)
                 out["bits"].append(parity_bits(hashes) if new else None)
+                enough = [needed(n, len(sampled(hashes, b)), b) for b in bands(n)] if new else None
+                out["needed"].append(enough)
                 seen.add(node)
             arrays = [part["doc_id"], part["text_hash"], *out.values()]
             typed = zip(arrays, SKETCHES, strict=True)
@@ -173,12 +225,6 @@ def _row() -> Column:
     return F.struct("doc_id", "text_hash")
 
 
-def _needed(n: Column) -> Column:
-    """So many keys that are not frequent find every link of a set: the pigeonhole's bound and one
-    more, or in sampled bands 20 (all 20 differ with a chance below 1e-10)."""
-    return F.least(F.floor(n * (100 - PERCENT) / PERCENT) + 1, F.lit(20))
-
-
 def _pairs_within(lists: DataFrame) -> DataFrame:
     """Pairs (a < b) of members of short lists, each once."""
 
@@ -323,7 +369,7 @@ def _common_links(shared: DataFrame, nodes: DataFrame, texts: DataFrame, links:
 def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """doc_id, text_hash, n and the component of each document, null for one without shingles."""
     named = _named(docs, id_column, text_column)
-    schema = "doc_id long, text_hash long, n long, node long, keys array<long>, bits array<long>"
+    schema = "doc_id long, text_hash long, n long, node long, keys array<long>, bits array<long>, needed array<long>"
     sketches = materialize(named.mapInArrow(_sketched, schema), "sketches")
     sets = sketches.where("node IS NOT NULL")
     nodes = materialize(
@@ -332,6 +378,7 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
             F.min(_row()).alias("row"),
             F.first("keys", ignorenulls=True).alias("keys"),
             F.first("bits", ignorenulls=True).alias("bits"),
+            F.first("needed", ignorenulls=True).alias("needed"),
         ),
         "sets",
     )
@@ -348,10 +395,12 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     frequent = keyed.join(shared.where(F.col("sets") > FREQUENT).select("key"), "key")
     frequent = materialize(frequent.withColumn("band", F.col("key").bitwiseAND(63)), "frequent-keys")
     hot = frequent.groupBy("node", "band").agg(F.count("*").alias("hot"))
-    totals = nodes.join(hot, "node").select(
-        "node", "band", "hot", "n", F.size(F.filter("keys", lambda k: k.bitwiseAND(63) == F.col("band"))).alias("all")
-    )
-    dependent = totals.where(F.col("all") - F.col("hot") < _needed(F.col("n"))).select("node", "band")
+    # The set's own band comes first, the one below second.
+    own = F.length(F.bin("n")) - 1
+    enough = F.element_at("needed", (own - F.col("band") + 1).cast("int")).alias("enough")
+    of_band = F.size(F.filter("keys", lambda k: k.bitwiseAND(63) == F.col("band"))).alias("all")
+    totals = nodes.join(hot, "node").select("node", "band", "hot", enough, of_band)
+    dependent = totals.where(F.col("all") - F.col("hot") < F.col("enough")).select("node", "band")
     common = materialize(frequent.join(dependent, ["node", "band"]).select("key", "band", "node"), "common")
 
     involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(common.select("node"))

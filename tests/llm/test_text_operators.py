@@ -232,6 +232,27 @@ def test_jaccard_join_of_large_families(words, spark, monkeypatch):
     assert found == brute_components(documents)
 
 
+def test_jaccard_join_of_families_with_appended_text(spark):
+    """Each member is linked to the base only, and its rare keys are all of its own text."""
+    draw = random.Random(7)
+    vocabulary, documents = [f"w{i}" for i in range(50000)], {}
+    for family, size in enumerate((63, 127, 126, 1023)):
+        base = draw.choices(vocabulary, k=size + 4)
+        documents[100 * family] = " ".join(base)
+        for i in range(1, 60):
+            own = draw.choices(vocabulary, k=int(size * draw.uniform(0.3, 0.33)))
+            documents[100 * family + i] = " ".join([*base, *own])
+    docs = spark.createDataFrame(list(documents.items()), "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join_near(docs).collect()}
+    assert found == brute_components(documents)
+
+
+def test_needed_keys_outnumber_what_a_linked_set_may_lack():
+    assert [jaccard_join.needed(n, n, n.bit_length() - 1) for n in (1, 3, 60, 63)] == [1, 2, 21, 22]
+    for sketched in (32, 48, 64):
+        assert sketched / 4 + 12 < jaccard_join.needed(1000 * sketched, sketched, 15) < sketched
+
+
 def test_parity_bits_bound_the_difference():
     draw = np.random.default_rng(3)
     for n in (1, 30, 3000):
