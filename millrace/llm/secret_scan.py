@@ -1,7 +1,8 @@
 """Secret scan: fixed patterns, and a battery of randomness tests on what they leave.
 
 Patterns find assignments, access keys and long hexadecimal runs. Any other long run of key-like
-characters is tested. Its alphabet is inferred from its characters, and against a uniform draw
+characters is tested; it ends after its padding, so a name before `=` is a run of its own, and one
+with signs of both base64 alphabets is tested in parts of either. Its alphabet is inferred from its characters, and against a uniform draw
 from that alphabet it takes a chi-squared test, a runs test and a serial-correlation test; a run
 that fails one (a counter, an alphabet, a repeated word) is no random key. What passes gets a
 p-value against ordinary text: under text the chi-squared statistic has a noncentrality that grows
@@ -27,7 +28,10 @@ _ASSIGN_WORDS = ("passw", "secret", "token", "api")
 # A shorter first run of an access key or a hex run is dropped whole, so the lengths can be asked for.
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+# Key-like characters and their padding, of which base32 has up to six.
+_RUN = re.compile(r"[A-Za-z0-9+/_-]+={0,6}")
+_PARTS = (re.compile(r"[A-Za-z0-9+/]+=*"), re.compile(r"[A-Za-z0-9_-]+=*"))
+SHORTEST = 20
 
 # A truly random key is passed over with at most this chance, over the three tests together.
 MISS = 0.001
@@ -153,12 +157,25 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def candidates(text: str, base: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, float]]:
-    """(start, end, p) of the long runs that no base span touches."""
+def parts(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the long runs; one that mixes the base64 alphabets gives the parts of each."""
     for match in _RUN.finditer(text):
         start, end = match.span()
+        if end - start < SHORTEST:
+            continue
+        run = match[0]
+        if ("+" in run or "/" in run) and ("-" in run or "_" in run):
+            found = {m.span() for pattern in _PARTS for m in pattern.finditer(run)}
+            yield from sorted((start + s, start + e) for s, e in found if e - s >= SHORTEST)
+        else:
+            yield start, end
+
+
+def candidates(text: str, base: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, float]]:
+    """(start, end, p) of the long runs that no base span touches."""
+    for start, end in parts(text):
         if all(end <= s or e <= start for s, e, _ in base):
-            yield start, end, battery(match[0])
+            yield start, end, battery(text[start:end])
 
 
 def redact(text: str, spans: list[tuple[int, int, str]], mask: str) -> str:
@@ -207,7 +224,7 @@ def scan(docs: DataFrame, text_column: str = "text", mask: str = "[SECRET]") ->
     """`docs` with `spans` (array of kind, start, end) and `redacted` (the text without its secrets).
 
     Columns of these names are replaced. Base spans are kept as the patterns give them; random spans
-    touch none of them. A null text counts as empty: no spans, and a null redacted text. One row out
+    touch none of them, but may overlap where a run has parts in both base64 alphabets. A null text counts as empty: no spans, and a null redacted text. One row out
     per row in, repeated rows alike; an empty table gives an empty result.
     """
     accepted = thresholds(docs, text_column)

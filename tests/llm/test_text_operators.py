@@ -413,6 +413,24 @@ def test_random_keys_are_found_and_words_are_not(spark):
     assert found[0].redacted == "see [SECRET] there"
 
 
+def test_random_keys_after_names_are_found(spark):
+    draw = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    forms = [("aws_key=", letters + "+/", ""), ("db_pass=", letters, ""), ("x/y?sig=", letters + "-_", "")]
+    forms += [("my_own-", letters + "+/", "=="), ("in/a+b/", letters + "-_", "="), ("a=b&k=", letters, "=")]
+    rows, keys = [], {}
+    for i in range(180):
+        before, alphabet, padding = forms[i % 6]
+        keys[i] = "".join(draw.choices(alphabet, k=43))
+        rows.append((i, f"see {before}{keys[i]}{padding} there"))
+    rows += [(200, "=" * 40 + " " + "x" + "=" * 40 + " " + "-" * 40 + " " + "/_" * 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in secret_scan.scan(docs).collect()}
+    for form in range(6):
+        assert sum(keys[i] not in found[i].redacted for i in range(form, 180, 6)) >= 28
+    assert not found[200].spans
+
+
 def test_redacted_documents_keep_their_columns(spark, hard):
     rows = [(1, "my password=abc123def \u00e9", 24), (2, None, None), (3, "", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
