@@ -5,8 +5,8 @@ family is told, then its language within the family, each time by one-versus-one
 vector machines: for every two classes one machine, the class with the most support wins. So
 closely related languages are only compared with each other.
 
-Training takes about `SAMPLE` labelled documents per language, chosen by a hash of the text; each
-machine is trained in one task on the sample of its two classes. Prediction covers whole texts.
+Training takes at most `SAMPLE` distinct labelled texts per language, those of smallest hash, so
+copies neither crowd out other texts nor add to them; each machine is trained in one task on the sample of its two classes. Prediction covers whole texts.
 """
 
 from collections.abc import Iterator
@@ -16,6 +16,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from millrace.session import materialize
 
 UNDETERMINED = "und"
 # Languages by family; a language that is not listed is a family of its own.
@@ -30,7 +33,7 @@ FAMILIES = {
     "indo-aryan": ("bn", "gu", "hi", "mr", "ne", "pa", "ur"),
     "semitic": ("ar", "he", "mt"),
 }
-# Expected number of training documents of a language: the bound of what is learned from.
+# Distinct training texts of a language at most: the bound of what is learned from.
 SAMPLE = 400
 BUCKETS = 1 << 13
 ROUNDS, COST = 30, 10.0
@@ -138,22 +141,35 @@ class Model:
 def fit(labelled: DataFrame, text_column: str = "text", label_column: str = "lang", sample: int = SAMPLE) -> Model:
     """A model of the languages in `labelled`; rows without a label or a letter are left out.
 
-    About `sample` documents per language are learned from: a share of each language's documents,
-    drawn by a hash of the text, so that copies are drawn or left together. Two or more languages
-    are needed to learn machines; one language gives a model that always names it.
+    Per language the `sample` distinct texts of smallest hash are learned from, or all if there are
+    fewer; copies count once. Two or more languages are needed to learn machines; one language gives
+    a model that always names it.
     """
     usable = labelled.select(F.col(text_column).alias("text"), F.col(label_column).alias("language")).where(
         F.col("language").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
-    counts = {r["language"]: r["n"] for r in usable.groupBy("language").agg(F.count("*").alias("n")).collect()}
+    usable = usable.withColumn("mark", F.xxhash64("text"))
+    marks = materialize(usable.select("language", "mark").distinct(), "text-marks")
+    counts = {r["language"]: r["n"] for r in marks.groupBy("language").agg(F.count("*").alias("n")).collect()}
     machines = machines_of(list(counts))
     if not machines:
         return Model(list(counts), {})
+    # Of many texts four times the sample stay, for the window to take its smallest from few: that
+    # these are under the sample has no chance worth naming, that there are none is ruled out below.
     scale = 1 << 30
-    shares = F.create_map(*[F.lit(v) for x, n in counts.items() for v in (x, min(scale, scale * sample // n))])
-    drawn = usable.withColumn("mark", F.xxhash64("text")).where(
-        F.pmod("mark", F.lit(scale)) < F.element_at(shares, F.col("language"))
-    )
+    shares = F.create_map(*[F.lit(v) for x, n in counts.items() for v in (x, min(scale, 4 * scale * sample // n + 1))])
+    place = F.pmod("mark", F.lit(scale))
+    few = marks.withColumn("place", place).where(F.col("place") < F.element_at(shares, F.col("language")))
+    smallest = Window.partitionBy("language").orderBy("place", "mark")
+    chosen = few.withColumn("rank", F.row_number().over(smallest)).where(F.col("rank") <= sample)
+    # At most `sample` marks per language.
+    chosen = materialize(chosen.select("language", "mark"), "chosen-marks")
+    missing = set(counts) - {r["language"] for r in chosen.select("language").distinct().collect()}
+    if missing:
+        least = marks.where(F.col("language").isin(*missing)).groupBy("language").agg(F.min("mark").alias("mark"))
+        chosen = chosen.union(least)
+    drawn = usable.join(F.broadcast(chosen), ["language", "mark"]).groupBy("language", "mark")
+    drawn = drawn.agg(F.min("text").alias("text"))
     sides = []
     for language in counts:
         for number, (level, a, b) in enumerate(machines):

@@ -464,6 +464,23 @@ def test_languages_on_hard_rows(spark, sf_small, hard):
     assert language_id.identify(hard.limit(0), model).count() == 0
 
 
+def test_copies_do_not_crowd_out_a_language(spark, monkeypatch):
+    """A text of very many copies, drawn or not, leaves the other texts of its language in the sample."""
+    sizes, buckets, made = [], language_id.BUCKETS, language_id.pd.DataFrame
+
+    def sizes_of_group(rows):
+        weights = [float(rows["first"].sum()), float((~rows["first"]).sum())] + [0.0] * (buckets - 1)
+        return made({"machine": [rows["machine"].iloc[0]], "weights": [weights]})
+
+    monkeypatch.setattr(language_id, "_train_group", sizes_of_group)
+    for seed in range(4):
+        hot = spark.range(20000).select(F.lit(f"hot {seed}").alias("text"), F.lit("en").alias("lang"))
+        rows = [(f"text {seed} {lang} {i}", lang) for lang in ("en", "de") for i in range(30)]
+        model = language_id.fit(hot.union(spark.createDataFrame(rows, "text string, lang string")), sample=20)
+        sizes.append(model.weights[0, :2].tolist())
+    assert sizes == [[20.0, 20.0]] * 4
+
+
 def test_families_are_told_apart_first():
     assert sorted(language_id.machines_of(["en", "de", "fr", "xx"])) == [
         ("family", "germanic", "only xx"),
