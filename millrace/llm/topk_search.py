@@ -4,7 +4,8 @@ Vectors are integer weights per term (dimension). Candidates are packed into blo
 posting list per term; for each query of a block of queries the postings of its non-zero terms are
 scattered, weighted, into one dense score array. Partition selection keeps the k best of a block,
 and the blocks' results merge in Spark. Every query meets every candidate; queries are a stated
-set, taken in blocks, so no task holds all of either.
+set, taken in blocks, so no task holds all of either. Scores are 64-bit; where a query and a
+candidate are so large that their products might not fit, exact Python integers.
 """
 
 from collections.abc import Iterator
@@ -19,18 +20,25 @@ from millrace.session import materialize
 
 # Vectors in a block of candidates and of queries: some MB, whatever the table holds.
 CANDIDATES, QUERIES = 16384, 1024
-# Larger components leave no room for sums of products in 64 bits.
-LARGEST = 2.0**20
+# Doubles from here on are whole numbers.
+WHOLE = 2.0**53
+# Bound of products' sums, a step below 64 bits for the rounding of the bound itself.
+FITS = 2.0**62
 
 
 def integer_weights(vector: Column, scale: int = 64) -> Column:
-    """floor(scale * x) of each component, taken as double."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(scale))))
+    """floor(scale * x) of each component, taken as double, and as a double: some leave a long."""
+
+    def weight(x: Column) -> Column:
+        x = x.cast("double") * F.lit(float(scale))
+        return F.when(F.abs(x) < WHOLE, F.floor(x).cast("double")).otherwise(x)
+
+    return F.transform(vector, weight)
 
 
 def _usable(vector: Column) -> Column:
-    bounded = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < LARGEST))
-    return F.coalesce(bounded, F.lit(False))
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+    return F.coalesce(finite, F.lit(False))
 
 
 def _unpacked(block: pa.StructScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -39,7 +47,7 @@ def _unpacked(block: pa.StructScalar) -> tuple[np.ndarray, np.ndarray, np.ndarra
     row_id, vec_id = (rows.field(n).to_numpy(zero_copy_only=False) for n in ("row_id", "vec_id"))
     lists = rows.field("weights")
     length = np.diff(lists.offsets.to_numpy())
-    table = np.zeros((len(rows), max(length, default=0)), np.int64)
+    table = np.zeros((len(rows), max(length, default=0)))
     table[np.arange(table.shape[1]) < length[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
     order = np.lexsort((row_id, vec_id))
     return row_id[order], vec_id[order], table[order]
@@ -81,19 +89,46 @@ def _meet(queries, candidates, k: int) -> pa.RecordBatch:
     """The k best candidates of one block for each query of another."""
     query_rows, query_ids, query_table = queries
     rows, ids, table = candidates
-    postings = _postings(table)
-    size = int(np.abs(table).max(initial=0)) * int(np.abs(query_table).max(initial=0)) * max(len(postings), 1)
-    if size < 2**31:
+    largest, largest_asked = (np.abs(t).max(axis=1, initial=0) for t in (table, query_table))
+    postings = _postings(_whole(table, largest))
+    terms = max(len(postings), 1)
+    asked = _whole(query_table, largest_asked)
+    if largest.max(initial=0) * largest_asked.max(initial=0) * terms < 2**31:
         postings = [(r, w.astype(np.int32)) for r, w in postings]
-        query_table = query_table.astype(np.int32)
+        asked = asked.astype(np.int32)
     found = []
-    for row, query_id, weights in zip(query_rows, query_ids, query_table, strict=True):
-        scores = _scores(weights, postings, len(rows)).astype(np.int64)
+    for i, (row, query_id) in enumerate(zip(query_rows, query_ids, strict=True)):
+        scores = _scores(asked[i], postings, len(rows)).astype(np.int64)
+        large = np.flatnonzero(largest * largest_asked[i] * terms >= FITS)
+        if len(large):
+            scores = scores.astype(object)
+            scores[large] = [_exact(query_table[i], table[c]) for c in large]
         at = _best(scores, k + 1)
         at = at[rows[at] != row]
-        at = at[np.lexsort((at, -scores[at]))][:k]
-        found.append((np.full(len(at), row), np.full(len(at), query_id), ids[at], scores[at]))
-    return pa.record_batch([np.concatenate(c) for c in zip(*found, strict=True)], schema=RESULT)
+        at = np.sort(at)
+        at = at[np.argsort(-scores[at], kind="stable")][:k]
+        found.append((np.full(len(at), row), np.full(len(at), query_id), ids[at], _longs(scores[at])))
+    columns = [np.concatenate(c) for c in zip(*found, strict=True)]
+    arrays = [pa.array(c, pa.int64()) for c in columns]
+    return pa.record_batch(arrays, schema=RESULT)
+
+
+def _whole(table: np.ndarray, largest: np.ndarray) -> np.ndarray:
+    """The weights as 64-bit numbers; zeros in rows that do not fit and are scored exactly."""
+    return np.where((largest < FITS)[:, None], table, 0).astype(np.int64)
+
+
+def _exact(a: np.ndarray, b: np.ndarray) -> int:
+    return sum(int(x) * int(y) for x, y in zip(a, b) if x and y)
+
+
+def _longs(scores: np.ndarray) -> np.ndarray:
+    """Scores below every long are null: they come last, and raise if they are among the k best."""
+    if scores.dtype != object:
+        return scores
+    if any(s >= 2**63 for s in scores):
+        raise OverflowError("an inner product among the best is no 64-bit number")
+    return np.array([s if s >= -(2**63) else None for s in scores], object)
 
 
 def _search(k: int):
@@ -124,8 +159,8 @@ def search(
     """The k candidates of greatest inner product for each query row.
 
     Returns query_id, rank (from 1), vec_id, score. Every row but the query's own is a candidate,
-    ties go to the smaller vec_id. Rows with a null id, a null vector, or a null, non-finite or
-    huge (2**40 and more) component take no part. Missing trailing components count as zero, so
+    ties go to the smaller vec_id. Rows with a null id, a null vector, or a null or non-finite
+    component take no part. A result's score that leaves a long is an error. Missing trailing components count as zero, so
     an empty vector scores 0. Rows that repeat an id are separate candidates and separate queries.
     Fewer than k candidates are all returned; an empty table gives an empty result.
     """
@@ -148,7 +183,8 @@ def search(
     found = met.mapInArrow(_search(k), "query_row long, query_id long, vec_id long, score long")
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    no_long = F.raise_error(F.lit("an inner product among the best is no 64-bit number")).cast("long")
+    return ranked.select("query_id", "rank", "vec_id", F.coalesce("score", no_long).alias("score"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -338,6 +338,23 @@ def test_search_on_hard_vectors(spark):
     assert topk_search.search(vectors.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_search_takes_every_finite_vector(spark):
+    rows = [(0, [1.0, 2.0]), (1, [2.0**30, -(2.0**22)]), (2, [2.0**50, 0.0]), (3, [0.0, 2.0**25 + 4]), (5, [-(2.0**60), 0.0])]
+    rows += [(20, [2.0**21, 2.0**21 + 0.25]), (40, [0.0, 2.0**25]), (60, [float("inf"), 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk_search.search(vectors, F.col("vec_id").isin(0, 40, 60), k=4).collect()
+    weights = {i: [int(64 * x) for x in v] for i, v in rows if i != 60}
+    for query in (0, 40):
+        scores = {i: sum(a * b for a, b in zip(weights[query], w)) for i, w in weights.items() if i != query}
+        best = sorted(scores, key=lambda i: (-scores[i], i))[:4]
+        got = sorted((r for r in found if r.query_id == query), key=lambda r: r["rank"])
+        assert [(r.vec_id, r.score) for r in got] == [(i, scores[i]) for i in best]
+    assert {r.query_id for r in found} == {0, 40}
+    for query, k in ((2, 4), (0, 7)):
+        with pytest.raises(Exception, match="64-bit"):
+            topk_search.search(vectors, F.col("vec_id") == query, k=k).collect()
+
+
 URLS = [
     ("http://A.example.NET/en/x?login", "a.example.net", "/en/x", "example.net/en/", "allow"),
     ("https://a.net/?q=http://z.org/fr/", "a.net", "/", "net/", "block"),
