@@ -280,11 +280,12 @@ def pack(
     path = path or public_tokenizers.path(VOCABULARY)
     cut = pieces(docs, path, capacity, end, with_ids, id_column, text_column)
     cut = cut if with_ids else cut.drop("ids")
-    cut = materialize(cut.withColumn("class", F.ceil(F.col("length") / STEP).cast("int")), "pieces")
+    # A piece that overhangs the last whole step has the last class: it fills a sequence alone.
+    room = max(capacity // STEP, 1)
+    size = F.least(F.ceil(F.col("length") / STEP), F.lit(room)).cast("int")
+    cut = materialize(cut.withColumn("class", size), "pieces")
     counts = {r["class"]: r["n"] for r in cut.groupBy("class").agg(F.count("*").alias("n")).collect()}
-    room = capacity // STEP
-    # A piece that fills a sequence needs no pattern; a class that overhangs the last step counts as one.
-    table = slots(plan({min(c, room): n for c, n in counts.items()}, room))
+    table = slots(plan(counts, room))
     kept = [c for c in cut.columns if c not in ("row_id", "class")]
     if not table:
         nowhere = F.lit(None).cast("long")

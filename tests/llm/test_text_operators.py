@@ -168,6 +168,13 @@ def test_packing_hard_rows(hard):
     assert packing.pack(hard.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("capacity", [1000, 7])
+def test_packing_of_any_capacity(capacity, spark):
+    documents = {1: "one two " * 2000, 2: "a b c " * 330, 3: "x", 4: None, 5: "y " * 987}
+    docs = spark.createDataFrame(list(documents.items()), "doc_id long, text string")
+    check_packing(packing.pack(docs, capacity=capacity).collect(), documents, capacity)
+
+
 def test_plan_holds_the_histogram():
     draw = random.Random(2)
     for top in (3, 300):
