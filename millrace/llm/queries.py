@@ -8,6 +8,7 @@ from millrace.llm import (
     line_dedup,
     packing,
     secret_scan,
+    spelling_variants,
     token_counts,
     topk_search,
     url_filter,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_topk_search": topk_search.query,
     "op9_exact_dedup": exact_dedup.query,
     "op10_language_id": language_id.query,
+    "op11_spelling_variants": spelling_variants.query,
 }
 
 ORACLE_SQL = {
