@@ -2,6 +2,7 @@
 
 from millrace.llm import (
     byte_bpe,
+    embedding_whitening,
     exact_dedup,
     jaccard_join,
     language_id,
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_exact_dedup": exact_dedup.query,
     "op10_language_id": language_id.query,
     "op11_spelling_variants": spelling_variants.query,
+    "op12_embedding_whitening": embedding_whitening.query,
 }
 
 ORACLE_SQL = {

@@ -1,0 +1,126 @@
+"""Whitening against numpy's eigenvalues, the solver against its own singular values."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import embedding_whitening as ew
+from millrace.llm.bidiagonal import bidiagonalise, right_singular, squared_singular_values
+
+NAN, INF = float("nan"), float("inf")
+
+
+def square(a):
+    r = np.linalg.qr(a, mode="r")
+    return np.vstack([r, np.zeros((max(0, a.shape[1] - len(r)), a.shape[1]))])
+
+
+def matrices():
+    draw = np.random.default_rng(3)
+    q = np.linalg.qr(draw.standard_normal((48, 48)))[0]
+    yield "plain", draw.standard_normal((300, 48)), 48
+    yield "graded", draw.standard_normal((300, 48)) * 10.0 ** -(np.arange(48) / 8), 48
+    yield "equal values", np.vstack([np.eye(12)] * 3), 12
+    yield "clusters", q @ np.diag(np.repeat([5.0, 3.0, 1.0, 0.1], 12)) @ q.T, 48
+    yield "nearly equal", q * (1 + 1e-9 * draw.standard_normal(48)), 48
+    yield "low rank", draw.standard_normal((200, 4)) @ draw.standard_normal((4, 48)), 4
+    yield "few rows", draw.standard_normal((5, 48)), 5
+    yield "constant columns", np.hstack([draw.standard_normal((40, 3)), np.zeros((40, 2))]), 3
+    yield "one column", draw.standard_normal((40, 1)), 1
+    yield "nothing", np.zeros((40, 3)), 0
+
+
+@pytest.mark.parametrize("name,a,rank", list(matrices()), ids=[m[0] for m in matrices()])
+def test_solver(name, a, rank):
+    values, vectors = right_singular(square(a), a.shape[1])
+    assert vectors.shape[1] == rank
+    expected = np.linalg.svd(a, compute_uv=False)[:rank]
+    assert np.allclose(np.sqrt(values[:rank]), expected, rtol=1e-11, atol=0)
+    assert np.allclose(vectors.T @ vectors, np.eye(rank), atol=1e-11)
+    whitened = a @ vectors / np.sqrt(values[:rank])
+    assert np.allclose(whitened.T @ whitened, np.eye(rank), atol=1e-7)
+
+
+def test_bidiagonal_form():
+    a = np.random.default_rng(4).standard_normal((20, 20))
+    diagonal, above, p = bidiagonalise(a)
+    b = np.diag(diagonal) + np.diag(above, 1)
+    assert np.allclose(p.T @ p, np.eye(20), atol=1e-13)
+    assert np.allclose(p @ b.T @ b @ p.T, a.T @ a, atol=1e-12)
+
+
+def test_small_singular_values_keep_their_digits():
+    # A bidiagonal matrix whose determinant is exact: the product of the diagonal.
+    diagonal, above = np.array([1.0, 1e-5, 1e-10, 1e-15]), np.array([1.0, 1.0, 1.0])
+    values = np.sqrt(squared_singular_values(diagonal, above))
+    assert np.prod(values) == pytest.approx(1e-30, rel=1e-12)
+
+
+def check(found, kept, components=32):
+    """The result against a plain computation over the ids and vectors that take part."""
+    x = np.floor(64 * np.array([v for _, v in kept], dtype=float)).astype(np.int64) + 1_000_000
+    n, sums = len(x), x.sum(axis=0)
+    deviations = n * x - sums
+    covariance = (deviations / n).T @ (deviations / n) / n
+    e, u = np.linalg.eigh(covariance)
+    k = min(components, int((e > 1e-12 * e[-1]).sum()))
+    e, u = e[::-1][:k], u[:, ::-1][:, :k]
+    white = deviations / n @ u / np.sqrt(e)
+    assert len(found) == n * k
+    by_id = {}
+    for r in found:
+        by_id.setdefault(r.vec_id, {})[r.component] = r
+    got = np.array([[by_id[i][c + 1].whitened for c in range(k)] for i, _ in kept])
+    assert np.allclose(got, white * np.sign((got * white).sum(axis=0)), atol=1e-8)
+    for i, (vec_id, _) in enumerate(kept):
+        r = by_id[vec_id][1]
+        assert (r.n, r.deviation) == (n, int((deviations[i].astype(object) ** 2).sum()))
+    for c in range(k):
+        assert by_id[kept[0][0]][c + 1].explained == pytest.approx(e[c] / np.trace(covariance), rel=1e-9)
+    assert found[0].identity_error < 1e-8
+    assert np.abs(got.T @ got / n - np.eye(k)).max() < 1e-8
+
+
+def test_query(spark, sf_small):
+    rows = spark.read.parquet(f"{sf_small}/embeddings.parquet").collect()
+    check(ew.query(spark, sf_small).collect(), [(r.vec_id, r.embedding) for r in rows])
+
+
+def test_tree_of_triangles(spark, sf_small, monkeypatch):
+    vectors = spark.read.parquet(f"{sf_small}/embeddings.parquet").repartition(13)
+    monkeypatch.setattr(ew, "FAN", 2)
+    kept = [(r.vec_id, r.embedding) for r in vectors.collect()]
+    check(ew.whiten(vectors, ew.fit(vectors, 10)).collect(), kept, 10)
+
+
+def test_hard_rows(spark):
+    draw = np.random.default_rng(6)
+    good = [(i, draw.standard_normal(5).tolist()) for i in range(40)]
+    bad = [(100, None), (101, []), (102, [1.0, None, 2.0, 3.0, 4.0]), (103, [NAN] * 5), (104, [1.0, INF, 0.0, 0.0, 0.0])]
+    table = spark.createDataFrame(good + bad, "vec_id long, embedding array<float>")
+    table = table.withColumns({c: F.lit("x") for c in ("component", "n", "part", "r", "d", "total")})
+    exact = [(i, [float(np.float32(v)) for v in vector]) for i, vector in good]
+    check(ew.whiten(table, ew.fit(table)).collect(), exact)
+    # A repeated row and a null id stay rows of their own.
+    twice = table.limit(40).unionByName(table.limit(1).withColumn("vec_id", F.lit(None).cast("long")))
+    assert ew.whiten(twice, ew.fit(twice)).count() == 41 * 5
+
+
+def test_nothing_to_whiten(spark):
+    schema = "vec_id long, embedding array<double>"
+    for rows in ([], [(1, None)], [(1, [1.0, 2.0])], [(1, [1.0, 2.0]), (2, [1.0, 2.0])]):
+        table = spark.createDataFrame(rows, schema)
+        assert ew.whiten(table, ew.fit(table)).count() == 0
+    with pytest.raises(ValueError, match="different lengths"):
+        ew.fit(spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], schema))
+
+
+def test_deviations_beyond_64_bits():
+    x = np.array([[1 << 40, 0], [0, 5]], dtype=np.int64)
+    n = 1 << 30
+    sums = (n * 7, n * 3)
+    exact = ew._deviations(x, n, sums)
+    assert exact.tolist() == [[n * ((1 << 40) - 7), -n * 3], [-n * 7, n * 2]]
+    assert ew._squared(exact) == [None, None]
+    small = ew._deviations(x[1:], 10, (0, 0))
+    assert ew._squared(small) == [2500]
