@@ -4,6 +4,7 @@ from millrace.llm import (
     byte_bpe,
     embedding_whitening,
     exact_dedup,
+    html_extraction,
     jaccard_join,
     language_id,
     line_dedup,
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_language_id": language_id.query,
     "op11_spelling_variants": spelling_variants.query,
     "op12_embedding_whitening": embedding_whitening.query,
+    "op13_html_extraction": html_extraction.query,
 }
 
 ORACLE_SQL = {
