@@ -24,9 +24,19 @@ from millrace.operators.profile import approximate_profile, profile, profile_all
 from millrace.operators.quarantine import number_groups, number_rows  # noqa: E402
 from millrace.plans import rules, silver  # noqa: E402
 from millrace.plans.gold import gold_table, orders_by_status  # noqa: E402
-from millrace.plans.migration import BAD_RECORDS, Migration, run_migration  # noqa: E402
+from millrace.plans.migration import (  # noqa: E402
+    BAD_RECORDS,
+    Migration,
+    build_gold,
+    build_silver,
+    point_bad_records,
+    reload_bad_records,
+    run_migration,
+    store_violations,
+)
 from millrace.session import materialize, shared_dir  # noqa: E402
 from millrace.sources import landing, legacy_views  # noqa: E402
+from millrace.sources.tables import column_inventory, inventory_changes  # noqa: E402
 
 # The text operators are optional: without their folder the rest is registered alone.
 try:
@@ -245,6 +255,66 @@ def _published(pick: Callable[[Migration], DataFrame]):
     return lambda spark, sf: pick(_migrated(spark, sf))
 
 
+def _reloaded_ids(spark, sf):
+    """Id ranges after the violations of one source were written again beside the others."""
+    run = uuid.uuid4().hex
+    folder, prefix = f"{shared_dir(spark)}/run-{run}", f"run_{run}_"
+    bronze = legacy_views.all_views(spark, sf)
+    stored = {s: store_violations(df, s, folder, REJECTED_AT, prefix) for s, df in bronze.items()}
+    point_bad_records(spark, stored, prefix)
+    found = reload_bad_records(bronze["orders"], "orders", folder, REJECTED_AT, prefix)
+    return _id_ranges(found)
+
+
+# Buckets of the registered queries over bucketed layers.
+BUCKETS = 16
+
+
+def _bucketed(spark, sf) -> dict:
+    """Silver and gold tables in buckets of their keys, published under names of their own."""
+    run = uuid.uuid4().hex
+    folder, prefix = f"{shared_dir(spark)}/run-{run}", f"run_{run}_"
+    made = build_silver(legacy_views.all_views(spark, sf), folder, prefix, BUCKETS)
+    return build_gold(made, folder, prefix, BUCKETS)
+
+
+def _csv_semicolon_customers(spark, sf):
+    """Landed from files with another separator, which is found from their header."""
+    path = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
+    text = _bronze("customers")(spark, sf).drop(*vocab.LINEAGE_COLUMNS)
+    text.write.options(**landing.csv_options(sep=";")).csv(path)
+    name = vocab.SOURCE_FILES["customers"]
+    return landing.land(
+        spark, "customers", path, legacy_views.INGESTED_AT, legacy_views.BATCH_ID, name, sep=None
+    )
+
+
+def _source_presence(spark, sf):
+    """Of four registered sources, the two written so far are there."""
+    folder = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
+    for source in ("customers", "products"):
+        text = _bronze(source)(spark, sf).drop(*vocab.LINEAGE_COLUMNS)
+        text.write.options(**landing.csv_options()).csv(f"{folder}/{vocab.SOURCE_FILES[source]}")
+    return landing.presence(spark, folder).select("source", "source_file", "present")
+
+
+def _inventory_changes(spark, sf):
+    """The landed products against an export with a column more, one less, and two that changed places."""
+    before = landing.land(
+        spark, "products", _csv_copy(spark, sf, "products"), legacy_views.INGESTED_AT, legacy_views.BATCH_ID
+    )
+    path = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
+    changed = _bronze("products")(spark, sf).select(
+        "product_name", "product_id", "category", F.lit("red").alias("colour"), "unit_price"
+    )
+    changed.write.options(**landing.csv_options()).csv(path)
+    now = landing.with_lineage(
+        landing.read_text_csv(spark, path), legacy_views.INGESTED_AT, legacy_views.BATCH_ID
+    )
+    tables = [column_inventory(spark, {"bronze_products": df}) for df in (before, now)]
+    return inventory_changes(*tables)
+
+
 def _load_reconciliation(spark, sf):
     layers = Layers(spark, sf)
     return checks.load_reconciliation(layers.bronze, layers.expected())
@@ -324,15 +394,15 @@ def _quarantine_id_ranges(spark, sf):
     Ids from first to last without a gap or a repetition have the sum they have to have.
     """
     found = rules.quarantine_all(legacy_views.all_views(spark, sf), REJECTED_AT)
-    return (
-        number_groups(found, "rule")
-        .groupBy("rejection_reason")
-        .agg(
-            F.min("id").alias("first_id"),
-            F.max("id").alias("last_id"),
-            F.sum("id").alias("id_sum"),
-            F.count("*").alias("rows"),
-        )
+    return _id_ranges(number_groups(found, "rule"))
+
+
+def _id_ranges(numbered: DataFrame) -> DataFrame:
+    return numbered.groupBy("rejection_reason").agg(
+        F.min("id").alias("first_id"),
+        F.max("id").alias("last_id"),
+        F.sum("id").alias("id_sum"),
+        F.count("*").alias("rows"),
     )
 
 
@@ -401,6 +471,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "published_profile": _published(lambda run: _samples_as_text(run.profile)),
         "published_validation": _published(lambda run: run.validation),
         "published_row_counts": _published(lambda run: run.row_counts),
+        "published_table_counts": _published(lambda run: run.table_counts),
+        "published_inventory": _published(
+            lambda run: run.inventory.where("`table` LIKE 'bronze%' OR `table` LIKE 'gold%'")
+        ),
+        "reloaded_bad_record_ids": _reloaded_ids,
+        "bucketed_fact_transactions": lambda spark, sf: _bucketed(spark, sf)["transactions"],
+        "bucketed_ref_integrity": lambda spark, sf: checks.reference_check(_bucketed(spark, sf)),
+        "csv_semicolon_customers": _csv_semicolon_customers,
+        "source_presence": _source_presence,
+        "inventory_changes": _inventory_changes,
         "published_run_summary": _published(lambda run: run.summary.drop("started_at", "seconds")),
         "load_reconciliation": _load_reconciliation,
         "run_summary": _run_summary,

@@ -25,7 +25,12 @@ from millrace.functions import (
     to_int,
 )
 from millrace.operators.dedup import first_per_key
-from millrace.operators.references import keep_referenced, match_parent
+from millrace.operators.references import (
+    keep_referenced,
+    keep_stored_referenced,
+    match_parent,
+    match_stored_parent,
+)
 
 
 def _keyed(bronze: DataFrame, key: str) -> DataFrame:
@@ -68,13 +73,15 @@ def typed_orders(bronze: DataFrame) -> DataFrame:
 
 
 def silver_orders(
-    bronze: DataFrame, customers: DataFrame, unique_customers: bool = False
+    bronze: DataFrame, customers: DataFrame, unique_customers: bool = False, in_buckets: bool = False
 ) -> DataFrame:
     """Orders of existing customers; repeated order ids stay.
 
     `customers` needs `customer_id` only. Say `unique_customers` when it is the stored
-    silver table.
+    silver table, and `in_buckets` when that lies in buckets of the id.
     """
+    if in_buckets:
+        return keep_stored_referenced(typed_orders(bronze), customers, "customer_id")
     return keep_referenced(typed_orders(bronze), customers, "customer_id", unique_customers)
 
 
@@ -95,9 +102,9 @@ def silver_transactions(bronze: DataFrame, orders: DataFrame, mode: str = "inner
     """Transactions of existing orders.
 
     Order ids may repeat: `inner` repeats the transaction per order row, `semi` keeps it
-    once. `orders` needs `order_id` only.
+    once, `stored` does as `inner` with orders stored in buckets of the id. `orders` needs `order_id` only.
     """
-    join = {"inner": match_parent, "semi": keep_referenced}[mode]
+    join = {"inner": match_parent, "semi": keep_referenced, "stored": match_stored_parent}[mode]
     return join(typed_transactions(bronze), orders, "order_id")
 
 

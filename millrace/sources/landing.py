@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from millrace import vocab
 
 CORRUPT = "_corrupt_record"
+# Separators that a header is tried with when none is given.
+SEPARATORS = (",", ";", "\t", "|")
 
 
 def text_schema(columns) -> T.StructType:
@@ -52,20 +54,41 @@ def header_of(spark: SparkSession, path, columns=(), multi_line: bool = False, s
     return names
 
 
+def separator_of(spark: SparkSession, path, columns, multi_line: bool = False) -> str:
+    """The one separator with which the first file's header holds all the columns.
+
+    Only header lines are read. None or several such separators are refused, rather than one picked.
+    """
+    fitting, headers = [], {}
+    wanted = {c.lower() for c in columns}
+    for sep in SEPARATORS:
+        headers[sep] = header_of(spark, path, (), multi_line, sep)
+        if wanted <= {name.lower() for name in headers[sep]}:
+            fitting.append(sep)
+    if len(fitting) != 1:
+        raise ValueError(
+            f"{path}: the header {headers[SEPARATORS[0]]} holds the columns {list(columns)} with "
+            f"{'several separators' if fitting else 'none of the separators'} {fitting or list(SEPARATORS)}"
+        )
+    return fitting[0]
+
+
 def read_text_csv(
     spark: SparkSession,
     path,
     columns=None,
     multi_line: bool = False,
     keep_corrupt: bool = False,
-    sep: str = ",",
+    sep: str | None = ",",
 ) -> DataFrame:
     """Scan CSV files as text; short rows are padded with NULL.
 
-    The header names the columns. `columns` come first, in their order, then what else the file
+    Without a `sep`, it is found from the header and `columns`. The header names the columns. `columns` come first, in their order, then what else the file
     has. With `keep_corrupt`, rows whose field count differs from the header carry their raw line
     in `_corrupt_record`, so fields beyond the header stay visible.
     """
+    if sep is None:
+        sep = separator_of(spark, path, columns or (), multi_line)
     names = header_of(spark, path, columns or (), multi_line, sep)
     schema = text_schema([*names, CORRUPT] if keep_corrupt else names)
     df = spark.read.options(**csv_options(multi_line, sep)).schema(schema).csv(path)
@@ -127,9 +150,31 @@ def land(
     return with_lineage(df, ingested_at, batch_id, source_file)
 
 
-def land_all(spark: SparkSession, folder: str, ingested_at: str, batch_id: str) -> dict:
+def land_all(spark: SparkSession, folder: str, ingested_at: str, batch_id: str, **read_options) -> dict:
     """Every registered source found under its landing file name in the folder."""
     return {
-        source: land(spark, source, f"{folder}/{name}", ingested_at, batch_id, name)
+        source: land(spark, source, f"{folder}/{name}", ingested_at, batch_id, name, **read_options)
         for source, name in vocab.SOURCE_FILES.items()
     }
+
+
+def presence(spark: SparkSession, folder: str) -> DataFrame:
+    """(source, source_file, present, files, bytes) of every registered source, before anything is read.
+
+    A source is a file or a folder of files; names that start with `_` or `.` are none of its files.
+    """
+    rows = []
+    for source, name in vocab.SOURCE_FILES.items():
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        storage = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = storage.listStatus(path) if storage.exists(path) else []
+        sizes = [f.getLen() for f in found if f.isFile() and f.getPath().getName()[0] not in "_."]
+        rows.append((source, name, bool(sizes), len(sizes), sum(sizes)))
+    return spark.createDataFrame(rows, "source string, source_file string, present boolean, files int, bytes bigint")
+
+
+def require_present(found: DataFrame, folder: str) -> None:
+    """Raise, naming every absent source, unless all are there."""
+    # One row per registered source.
+    if absent := [r["source_file"] for r in found.where("NOT present").orderBy("source_file").collect()]:
+        raise FileNotFoundError(f"Missing source file: {', '.join(f'{folder}/{name}' for name in absent)}")

@@ -473,6 +473,37 @@ def _published_statements() -> dict:
         for s in SOURCES
     )
     sql["published_run_summary"] = _published(summary)
+    counts = [f"SELECT 'bronze' AS layer, '{s}' AS dataset, count(*) AS rows FROM bronze_{s}" for s in SOURCES]
+    counts += [f"SELECT 'silver', '{s}', count(*) FROM silver_{s}" for s in SOURCES]
+    counts += [f"SELECT 'gold', '{s}', count(*) FROM {t}" for s, t in vocab.GOLD_TABLES.items()]
+    counts += [f"SELECT 'bad_records', '{s}', count(*) FROM ({_violations(s)})" for s in SOURCES]
+    sql["published_table_counts"] = _published(_union(counts))
+    bronze = [
+        f"('bronze_{s}', {i}, '{c}', 'string')"
+        for s in SOURCES
+        for i, c in enumerate([*vocab.SOURCE_COLUMNS[s], "ingested_at", "source_file", "batch_id"])
+    ]
+    gold = "\nUNION ALL ".join(
+        f"SELECT 'gold_{s}' AS \"table\", CAST(row_number() OVER () - 1 AS INT) AS position, "
+        f"column_name AS \"column\", CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' "
+        f"ELSE lower(column_type) END AS type FROM (DESCRIBE SELECT * FROM {t})"
+        for s, t in vocab.GOLD_TABLES.items()
+    )
+    sql["published_inventory"] = _published(
+        f"""SELECT "table", position, "column", type FROM (VALUES {", ".join(bronze)}) AS b("table", position, "column", type)
+UNION ALL {gold}"""
+    )
+    sql["csv_semicolon_customers"] = _with([_CUSTOMERS], "SELECT * FROM bronze_customers")
+    files = ", ".join(
+        f"('{s}', '{name}', {str(s in ('customers', 'products')).lower()})" for s, name in vocab.SOURCE_FILES.items()
+    )
+    sql["source_presence"] = f"SELECT * FROM (VALUES {files}) AS f(source, source_file, present)"
+    sql["inventory_changes"] = """SELECT * FROM (VALUES
+  ('bronze_products', 'colour', 'added', NULL, 'string'), ('bronze_products', 'supplier_code', 'lost', 'string', NULL),
+  ('bronze_products', 'product_id', 'moved', 'string', 'string'),
+  ('bronze_products', 'product_name', 'moved', 'string', 'string'),
+  ('bronze_products', 'unit_price', 'moved', 'string', 'string')
+) AS c("table", "column", change, old_type, new_type)"""
     # Its columns in another order in the file; a surplus field in some lines.
     sql["csv_reordered_customers"] = _with([_CUSTOMERS], "SELECT * FROM bronze_customers")
     sql["csv_extra_fields"] = _with(
@@ -517,6 +548,7 @@ def statements() -> dict:
         [*_TO_TRANSACTIONS, _FACT_TRANSACTIONS], "SELECT * FROM fact_transactions"
     )
     sql["stored_fact_orders"] = sql["fact_orders"]
+    sql["bucketed_fact_transactions"] = sql["fact_transactions"]
     sql["stored_star"] = _with(
         _ALL,
         _union(f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in vocab.GOLD_TABLES.values()),
@@ -654,4 +686,6 @@ FROM fact_orders GROUP BY status""",
         "SELECT check_name, bool_and(passed) AS passed FROM results GROUP BY check_name "
         "UNION ALL SELECT 'overall', bool_and(passed) FROM results",
     )
+    sql["bucketed_ref_integrity"] = sql["ref_integrity"]
+    sql["reloaded_bad_record_ids"] = sql["quarantine_id_ranges"]
     return sql | _published_statements()
