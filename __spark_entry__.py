@@ -20,7 +20,19 @@ import oracles  # noqa: E402
 from millrace import functions as fn  # noqa: E402
 from millrace import vocab  # noqa: E402
 from millrace.operators import checks, dedup, references  # noqa: E402
-from millrace.operators.profile import approximate_profile, profile, profile_all  # noqa: E402
+from millrace.operators.distinct import (  # noqa: E402
+    count_bitmaps,
+    exact_distinct,
+    id_bitmaps,
+    merge_bitmaps,
+)
+from millrace.operators.profile import (  # noqa: E402
+    approximate_profile,
+    merge_profiles,
+    profile,
+    profile_all,
+    profile_sketches,
+)
 from millrace.operators.quarantine import number_groups, number_rows  # noqa: E402
 from millrace.plans import rules, silver  # noqa: E402
 from millrace.plans.gold import gold_table, orders_by_status  # noqa: E402
@@ -110,24 +122,10 @@ class Layers:
         )
 
     def stored(self) -> Layers:
-        """Silver tables are written when first asked for, parents before children."""
-        bronze, lazy = self.bronze, self.silver
-        self.silver = Tables(
-            {
-                "customers": lambda: materialize(lazy["customers"], "silver_customers"),
-                "orders": lambda: materialize(
-                    silver.silver_orders(
-                        bronze["orders"], self.silver["customers"], unique_customers=True
-                    ),
-                    "silver_orders",
-                ),
-                "transactions": lambda: materialize(
-                    silver.silver_transactions(bronze["transactions"], self.silver["orders"]),
-                    "silver_transactions",
-                ),
-                "products": lambda: materialize(lazy["products"], "silver_products"),
-            }
-        )
+        """Silver tables are written, parents before children, as a run does."""
+        run = uuid.uuid4().hex
+        folder = f"{shared_dir(self.spark)}/run-{run}"
+        self.silver = build_silver(self.bronze, folder, f"run_{run}_")
         return self
 
     @property
@@ -156,7 +154,13 @@ def _silver(source):
 
 
 def _gold(source):
-    return lambda spark, sf: Layers(spark, sf).gold[source]
+    """From the stored silver table, as in a run: its keys are parsed once, not again for the filter."""
+
+    def run(spark, sf):
+        made = materialize(Layers(spark, sf).silver[source], f"silver_{source}")
+        return gold_table(vocab.GOLD_TABLES[source], made)
+
+    return run
 
 
 def _quarantine(source):
@@ -315,6 +319,60 @@ def _inventory_changes(spark, sf):
     return inventory_changes(*tables)
 
 
+# Ids of bronze tables: (source, column, how its text is read).
+IDS = (
+    ("customers", "customer_id", fn.to_id),
+    ("orders", "order_id", fn.to_id),
+    ("orders", "customer_id", fn.to_id),
+    ("transactions", "transaction_id", fn.to_id),
+    ("transactions", "order_id", fn.to_int),
+    ("products", "product_id", fn.to_id),
+)
+
+
+def _distinct_ids(spark, sf):
+    """Distinct ids per id column, by bitmaps."""
+    parts = []
+    for source, column, read in IDS:
+        counted = exact_distinct(_bronze(source)(spark, sf), read(F.col(column)), "ids")
+        parts.append(counted.select(F.lit(source).alias("source"), F.lit(column).alias("column"), "ids"))
+    return checks.union_all(parts)
+
+
+def _in_batches(df: DataFrame, column: str) -> DataFrame:
+    """The rows dealt to three batches, as if exported one after the other."""
+    return df.withColumn("batch", F.pmod(F.hash(column), F.lit(3)))
+
+
+def _merged_distinct_ids(spark, sf):
+    """The same from bitmaps stored per batch; ids that several batches hold count once."""
+    parts = []
+    for source, column, read in IDS:
+        batches = _in_batches(_bronze(source)(spark, sf), vocab.SOURCE_COLUMNS[source][-1])
+        stored = materialize(id_bitmaps(batches, read(F.col(column)), "batch"), "bitmaps")
+        counted = count_bitmaps(merge_bitmaps(stored), "ids")
+        parts.append(counted.select(F.lit(source).alias("source"), F.lit(column).alias("column"), "ids"))
+    return checks.union_all(parts)
+
+
+def _merged_profiles(spark, sf):
+    """Profiles merged from sketches stored per batch: exact counts, and whether the estimate is near.
+
+    Near is within four standard errors of the exact number of distinct values.
+    """
+    parts = []
+    for source in vocab.SOURCE_FILES:
+        df = _bronze(source)(spark, sf)
+        batches = _in_batches(df, vocab.SOURCE_COLUMNS[source][-1])
+        stored = materialize(profile_sketches(batches, vocab.LINEAGE_COLUMNS, "batch"), "sketches")
+        exact = profile(df).select("column", F.col("distinct").alias("exact"))
+        error = F.abs(F.col("distinct") - F.col("exact"))
+        near = error <= F.greatest(F.lit(1.0), 4 * 1.04 / 64 * F.col("exact"))
+        merged = merge_profiles(stored).join(exact, "column").withColumn("near", near)
+        parts.append(merged.select(F.lit(source).alias("source"), "column", "total", "nulls", "null_pct", "near"))
+    return checks.union_all(parts)
+
+
 def _load_reconciliation(spark, sf):
     layers = Layers(spark, sf)
     return checks.load_reconciliation(layers.bronze, layers.expected())
@@ -480,6 +538,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bucketed_ref_integrity": lambda spark, sf: checks.reference_check(_bucketed(spark, sf)),
         "csv_semicolon_customers": _csv_semicolon_customers,
         "source_presence": _source_presence,
+        "distinct_ids": _distinct_ids,
+        "merged_distinct_ids": _merged_distinct_ids,
+        "merged_profiles": _merged_profiles,
         "inventory_changes": _inventory_changes,
         "published_run_summary": _published(lambda run: run.summary.drop("started_at", "seconds")),
         "load_reconciliation": _load_reconciliation,

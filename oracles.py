@@ -493,6 +493,26 @@ def _published_statements() -> dict:
         f"""SELECT "table", position, "column", type FROM (VALUES {", ".join(bronze)}) AS b("table", position, "column", type)
 UNION ALL {gold}"""
     )
+    # Texts that are no ids count as none.
+    ids = [
+        ("customers", "customer_id", _id("customer_id")),
+        ("orders", "order_id", _id("order_id")),
+        ("orders", "customer_id", _id("customer_id")),
+        ("transactions", "transaction_id", _id("transaction_id")),
+        ("transactions", "order_id", "TRY_CAST(order_id AS INT)"),
+        ("products", "product_id", _id("product_id")),
+    ]
+    sql["distinct_ids"] = sql["merged_distinct_ids"] = _with(
+        _ALL_BRONZE,
+        _union(
+            f"SELECT '{s}' AS source, '{c}' AS \"column\", count(DISTINCT {value}) AS ids FROM bronze_{s}"
+            for s, c, value in ids
+        ),
+    )
+    profiles = _union(_profile(s, f"'{s}' AS source, ") for s in SOURCES)
+    sql["merged_profiles"] = _with(
+        _ALL_BRONZE, f'SELECT source, "column", total, nulls, null_pct, true AS near FROM ({profiles})'
+    )
     sql["csv_semicolon_customers"] = _with([_CUSTOMERS], "SELECT * FROM bronze_customers")
     files = ", ".join(
         f"('{s}', '{name}', {str(s in ('customers', 'products')).lower()})" for s, name in vocab.SOURCE_FILES.items()
