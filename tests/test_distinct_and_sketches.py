@@ -50,7 +50,7 @@ def test_dense_ids_shuffle_buckets_only(spark):
     assert "bitmap_construct_agg" in text
     # What crosses the network: one row per bucket and partition.
     found = distinct.id_bitmaps(dense, F.col("id"))
-    assert found.count() == 7
+    assert found.count() == 8
     assert final_plan(found).count("Exchange") == 1
 
 
