@@ -3,7 +3,8 @@
 `tiktoken` does the merges inside Python workers that Spark feeds with Arrow batches. A long text
 is first cut where the pattern must end a match anyway: between a character that is no white
 space and white space. So no call holds more than a stretch of it, and the ids are those of the
-whole text. Decoding gives raw bytes, since a token need not end between characters.
+whole text. A very long run of white space, in which the library's own matching fails, is cut by the
+pattern's rule for it: all but the last character is one match if anything follows, else all. Decoding gives raw bytes, since a token need not end between characters.
 """
 
 import base64
@@ -26,6 +27,9 @@ ROWS = 256
 # Unicode white space, as `\s` of the pattern has it.
 _WIDE = (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 WHITE = "\\t-\\r \\x85\\xa0" + "".join(map(chr, _WIDE))
+# Runs of so much white space are matched here rather than by the library.
+RUN = 10_000
+_RUNS = re.compile(f"[{WHITE}]{{{RUN},}}")
 _SAFE = re.compile(f"(?<=[^{WHITE}])(?=[{WHITE}])")
 
 
@@ -46,8 +50,14 @@ def stretches(text: str, length: int = STRETCH) -> Iterator[str]:
 
 
 def ids_of(codec: tiktoken.Encoding, text: str) -> np.ndarray:
-    parts = [np.array(codec.encode_ordinary(part), np.int32) for part in stretches(text)]
-    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+    parts, start = [], 0
+    for run in _RUNS.finditer(text):
+        # What comes before ends with no white space, so the pattern ends a match there.
+        parts += [codec.encode_ordinary(part) for part in stretches(text[start : run.start()])]
+        start = run.end() if run.end() == len(text) else run.end() - 1
+        parts.append(codec._encode_single_piece(text[run.start() : start]))
+    parts += [codec.encode_ordinary(part) for part in stretches(text[start:] if start else text)]
+    return np.concatenate([np.array(part, np.int32) for part in parts])
 
 
 def _few(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -109,6 +109,21 @@ def test_stretches_keep_the_ids(texts):
             assert [i for p in parts for i in codec.encode_ordinary(p)] == codec.encode_ordinary(text)
 
 
+def test_long_runs_of_white_space():
+    codec = byte_bpe.encoding(public_tokenizers.path(byte_bpe.RANKS), public_tokenizers.PATTERN)
+    runs = [" ", "\n", "\u3000", " \n"]
+    for run in runs:
+        for n in (byte_bpe.RUN // len(run), 60_000):
+            for text in (f"w{run * n}end", f"w{run * n}", f"{run * n}1", f"a{run * n}!{run * n} x{run}y", f"{run * n}\tz"):
+                assert byte_bpe.ids_of(codec, text).tolist() == codec.encode_ordinary(text)
+    for run in runs:
+        # The library itself fails at this length.
+        text = f"word{run * 2_500_000} end"
+        ids = byte_bpe.ids_of(codec, text)
+        assert codec.decode_bytes(ids.tolist()).decode() == text
+        assert ids[:1].tolist() == codec.encode_ordinary("word")[:1] and ids[-1:].tolist() == codec.encode_ordinary(" end")
+
+
 def test_byte_bpe_round_trip(spark, sf_small, texts):
     codec = byte_bpe.encoding(public_tokenizers.path(byte_bpe.RANKS), public_tokenizers.PATTERN)
     for row in byte_bpe.query(spark, sf_small).collect():
