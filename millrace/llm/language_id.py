@@ -218,6 +218,22 @@ def drop_undetermined(docs: DataFrame, model: Model, text_column: str = "text")
     return identify(rows, model).where(F.col("lang_pred") != UNDETERMINED).select("document.*")
 
 
+def settle_languages(
+    docs: DataFrame, model: Model, text_column: str = "text", label_column: str = "lang"
+) -> DataFrame:
+    """`docs` without undetermined rows; the others without a language get the predicted one.
+
+    A stated language is kept as it is, and so are the other columns. A model that knows no language
+    rejects the same rows and names none.
+    """
+    if not model.languages:
+        return drop_undetermined(docs, model, text_column)
+    rows = docs.select(F.struct("*").alias("document"), F.col(text_column).alias("text"))
+    named = identify(rows, model).where(F.col("lang_pred") != UNDETERMINED)
+    language = F.coalesce(F.col("document")[label_column], F.col("lang_pred"))
+    return named.select(*[(language if c == label_column else F.col("document")[c]).alias(c) for c in docs.columns])
+
+
 def held_out(id_column: Column) -> Column:
     """crc32 of the id as text, modulo 4, is 2; a null id is not held out."""
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -5,6 +5,7 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 from test_text_operators import brute_components, check_packing, plain_spans
 
@@ -46,6 +47,20 @@ def test_stages(spark, sf_small):
     assert check_packing(packed, kept["secret_scan"]) < 0.05
 
 
+def test_the_model_decides_a_missing_language(spark, sf_small):
+    """Where `lang` is missing, later stages see what the classifier says of the text."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    stated = {r.doc_id: r.lang for r in docs.collect()}
+    hidden = docs.withColumn("lang", F.when(F.col("doc_id") % 3 != 0, F.col("lang")))
+    found = corpus_pipeline.STAGES[0][1](spark, hidden, sf_small)
+    assert found.columns == docs.columns
+    found = {r.doc_id: r.lang for r in found.collect()}
+    assert all(found[i] == stated[i] for i in found if i % 3)
+    asked = [i for i in found if i % 3 == 0]
+    assert {found[i] for i in asked} == {stated[i] for i in asked} and len({found[i] for i in asked}) > 2
+    assert sum(found[i] == stated[i] for i in asked) >= 0.9 * len(asked)
+
+
 def test_run_is_registered(spark, sf_small):
     import __spark_entry__ as registry
 
