@@ -11,8 +11,11 @@ from millrace.session import materialize
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language; those without a letter go. Learned from the documents at hand."""
-    return language_id.drop_undetermined(docs, language_id.fit_on_documents(docs))
+    """Documents in a language; those without a letter go, and a missing `lang` is the predicted one.
+
+    Learned from the documents at hand.
+    """
+    return language_id.settle_languages(docs, language_id.fit_on_documents(docs))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
