@@ -17,9 +17,11 @@ shingles. A set is sketched in its own band and, if a linked set may lie there,
 A second sketch of `BITS` parity bits, one flipped per shingle, drops pairs before their texts are
 fetched: its Hamming distance, too, is at most the symmetric difference, whatever the size.
 
-Keys that many sets share (a licence line, a family of copies) never give all pairs. A set with
-enough other keys needs none of them: the pigeonhole holds for those, in sampled bands by a tail
-bound that lets all changed shingles be the set's own rare ones. Sets that have not are linked
+Keys that many sets share (a licence line, a family of copies) never give all pairs. With all keys in one
+order, the rarest first, two linked sets share one of the first ones of both, as many as a linked set
+may lack and one more (in sampled bands by a tail bound that lets all changed shingles be the
+set's own rare ones). So a set with enough rare keys needs no frequent one, and any other set only
+as many of its frequent keys, the rarest of them, as it is short of. Sets with such a key are linked
 to one pivot per key. Those that are still outside a key's largest component are compared, in blocks
 and by parity bits first, with the sets of their band that share frequent keys; a set yields at most
 one link to each other component of a block.
@@ -392,16 +394,19 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     lists = members.where(F.col("sets") <= FREQUENT).groupBy("key").agg(listed)
     pairs = _near(_pairs_within(lists.select("members").distinct()), nodes)
 
-    frequent = keyed.join(shared.where(F.col("sets") > FREQUENT).select("key"), "key")
-    frequent = materialize(frequent.withColumn("band", F.col("key").bitwiseAND(63)), "frequent-keys")
-    hot = frequent.groupBy("node", "band").agg(F.count("*").alias("hot"))
+    frequent = keyed.join(shared.where(F.col("sets") > FREQUENT), "key")
+    frequent = frequent.withColumn("band", F.col("key").bitwiseAND(63))
+    # The rarest first, in an order all sets share; no more than a sketch has words.
+    rarest = F.sort_array(F.collect_list(F.struct("sets", "key"))).alias("hot")
+    hot = frequent.groupBy("node", "band").agg(rarest)
     # The set's own band comes first, the one below second.
     own = F.length(F.bin("n")) - 1
-    enough = F.element_at("needed", (own - F.col("band") + 1).cast("int")).alias("enough")
-    of_band = F.size(F.filter("keys", lambda k: k.bitwiseAND(63) == F.col("band"))).alias("all")
-    totals = nodes.join(hot, "node").select("node", "band", "hot", enough, of_band)
-    dependent = totals.where(F.col("all") - F.col("hot") < F.col("enough")).select("node", "band")
-    common = materialize(frequent.join(dependent, ["node", "band"]).select("key", "band", "node"), "common")
+    enough = F.element_at("needed", (own - F.col("band") + 1).cast("int")).cast("int")
+    others = F.size(F.filter("keys", lambda k: k.bitwiseAND(63) == F.col("band"))) - F.size("hot")
+    lacking = nodes.join(hot, "node").select("node", "band", "hot", (enough - others).alias("lacking"))
+    used = F.slice("hot", 1, F.col("lacking"))["key"]
+    common = lacking.where("lacking > 0").select("node", "band", F.explode(used).alias("key"))
+    common = materialize(common.select("key", "band", "node"), "common")
 
     involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(common.select("node"))
     texts = _texts(named, nodes, involved)
