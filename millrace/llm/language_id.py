@@ -186,15 +186,18 @@ def fit(labelled: DataFrame, text_column: str = "text", label_column: str = "lan
     return Model(list(counts), {r["machine"]: r["weights"] for r in trained.collect()})
 
 
-def predict(text: Column, model: Model) -> Column:
-    """struct of lang_pred and score (0 to 1); a null text or one without a letter is `und`, 0."""
+def predict(text: Column, model: Model, once: bool = False) -> Column:
+    """struct of lang_pred and score (0 to 1); a null text or one without a letter is `und`, 0.
+
+    With `once`, Spark does not evaluate it again where a filter and a column use the result.
+    """
 
     @F.pandas_udf("lang_pred string, score double")
     def languages(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             yield pd.DataFrame([model.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    return languages(text)
+    return (languages.asNondeterministic() if once else languages)(text)
 
 
 def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
@@ -228,9 +231,10 @@ def settle_languages(
     """
     if not model.languages:
         return drop_undetermined(docs, model, text_column)
-    rows = docs.select(F.struct("*").alias("document"), F.col(text_column).alias("text"))
-    named = identify(rows, model).where(F.col("lang_pred") != UNDETERMINED)
-    language = F.coalesce(F.col("document")[label_column], F.col("lang_pred"))
+    found = predict(F.col(text_column), model, once=True)
+    named = docs.select(F.struct("*").alias("document"), found.alias("found"))
+    named = named.where(F.col("found.lang_pred") != UNDETERMINED)
+    language = F.coalesce(F.col("document")[label_column], F.col("found.lang_pred"))
     return named.select(*[(language if c == label_column else F.col("document")[c]).alias(c) for c in docs.columns])
 
 
