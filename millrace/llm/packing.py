@@ -1,10 +1,11 @@
 """Packing documents into fixed-length sequences by cutting-stock column generation.
 
 A document is cut only where it exceeds a sequence: into full pieces and a rest. Lengths of pieces
-are counted per class of `STEP` tokens, a histogram of at most capacity / STEP numbers whatever the
-input. Over it a linear program chooses how often each pattern of classes is used; a knapsack by
+are counted per class of `STEP` tokens, short ones per token, a histogram of at most capacity / STEP + SHORT
+numbers whatever the input. Over it, short pieces together as one class of a single step, a linear program chooses how often each pattern of classes is used; a knapsack by
 dynamic programming prices new patterns by the program's duals until none improves it. Pattern
-counts are rounded down, and the few pieces left are filled into further patterns the same way.
+counts are rounded down, and the few pieces left are filled into further patterns the same way. Short pieces
+are then poured by their true lengths into the room that patterns leave, the rest into sequences of their own.
 
 Pieces then take slots by rank within their class. Ranks come in two levels, within hashed shards
 and over the shards' sizes, so that no class is ordered in one task.
@@ -33,6 +34,8 @@ from millrace.session import materialize
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY, END = 4096, 2
 STEP = 16
+# Pieces of at most so many tokens have a class for every length.
+SHORT = 128
 # Words whose ids a worker remembers, documents it takes together, and pieces it merges together.
 REMEMBERED, ROWS, MERGED = 500_000, 1000, 100_000
 # Pivots of the linear program at most; any basis met on the way is a valid, if looser, plan.
@@ -188,24 +191,32 @@ def solve(sizes: np.ndarray, demand: np.ndarray, room: int) -> tuple[np.ndarray,
     return patterns.astype(np.int64), used
 
 
+def fullest(sizes: np.ndarray, left: np.ndarray, room: int) -> np.ndarray:
+    """Counts of the pieces left that fill the room best, larger ones first."""
+    counts, reach, items = np.zeros(len(sizes), np.int64), [1], []
+    below = (1 << (room + 1)) - 1
+    for i in range(len(sizes) - 1, -1, -1):
+        for _ in range(min(int(left[i]), room // int(sizes[i]))):
+            if reach[-1] >> room & 1:
+                break
+            items.append(i)
+            reach.append(reach[-1] | (reach[-1] << int(sizes[i])) & below)
+    at = reach[-1].bit_length() - 1
+    for step in range(len(items), 0, -1):
+        if not reach[step - 1] >> at & 1:
+            counts[items[step - 1]] += 1
+            at -= int(sizes[items[step - 1]])
+    return counts
+
+
 def fill(sizes: np.ndarray, left: np.ndarray, room: int) -> list[tuple[np.ndarray, int]]:
     """Patterns for the pieces left: the largest first, the fullest completion, as often as it goes."""
     out, left = [], left.copy()
     while left.any():
-        counts = np.zeros(len(sizes), np.int64)
         top = int(np.flatnonzero(left)[-1])
-        counts[top] = 1
-        space, reach = room - int(sizes[top]), [1]
-        items = []
-        for i in range(len(sizes) - 1, -1, -1):
-            items += [i] * min(int(left[i] - counts[i]), space // int(sizes[i]))
-        for i in items:
-            reach.append(reach[-1] | (reach[-1] << int(sizes[i])) & ((1 << (space + 1)) - 1))
-        at = reach[-1].bit_length() - 1
-        for step in range(len(items), 0, -1):
-            if not reach[step - 1] >> at & 1:
-                counts[items[step - 1]] += 1
-                at -= int(sizes[items[step - 1]])
+        first = np.zeros(len(sizes), np.int64)
+        first[top] = 1
+        counts = first + fullest(sizes, left - first, room - int(sizes[top]))
         times = int((left[counts > 0] // counts[counts > 0]).min())
         out.append((counts, times))
         left -= counts * times
@@ -229,6 +240,30 @@ def plan(histogram: dict[int, int], room: int) -> list[tuple[dict[int, int], int
     return [({int(s): int(c) for s, c in zip(sizes, p, strict=True) if c}, n) for p, n in whole]
 
 
+def poured(
+    patterns: list[tuple[dict[int, int], int]], shorts: dict[int, int], room: int, capacity: int
+) -> list[tuple[dict[int, int], int]]:
+    """The patterns with exactly the counted short pieces, by length, in their room and in further sequences.
+
+    In a pattern, class 1 is room kept for short pieces, and classes from 2 on are steps of longer ones; a
+    short piece's class is its length below zero.
+    """
+    lengths = np.array(sorted(shorts), np.int64)
+    left, out = np.array([shorts[n] for n in lengths.tolist()], np.int64), []
+    for counts, times in patterns:
+        longer = {size: n for size, n in counts.items() if size > 1}
+        space = min(STEP * (room - sum(size * n for size, n in longer.items())), capacity)
+        while longer and times:
+            some = fullest(lengths, left, space)
+            fits = min(times, int((left[some > 0] // some[some > 0]).min())) if some.any() else times
+            short = {-int(n): int(c) for n, c in zip(lengths, some, strict=True) if c}
+            out.append(({**longer, **short}, fits))
+            left -= some * fits
+            times -= fits
+    own = fill(lengths, left, capacity)
+    return out + [({-int(s): int(c) for s, c in zip(lengths, p, strict=True) if c}, n) for p, n in own]
+
+
 def slots(chosen: list[tuple[dict[int, int], int]]) -> list[tuple[int, int, int, int, int, int]]:
     """(class, first rank, rank after the last, pieces in a sequence, first sequence, first place)."""
     out, rank, sequence = [], {}, 0
@@ -282,16 +317,21 @@ def pack(
     cut = cut if with_ids else cut.drop("ids")
     # A piece that overhangs the last whole step has the last class: it fills a sequence alone.
     room = max(capacity // STEP, 1)
-    size = F.least(F.ceil(F.col("length") / STEP), F.lit(room)).cast("int")
+    steps = F.least(F.ceil(F.col("length") / STEP), F.lit(room))
+    size = F.when(F.col("length") <= SHORT, -F.col("length")).otherwise(steps).cast("int")
     cut = materialize(cut.withColumn("class", size), "pieces")
     counts = {r["class"]: r["n"] for r in cut.groupBy("class").agg(F.count("*").alias("n")).collect()}
-    table = slots(plan(counts, room))
+    shorts = {-size: n for size, n in counts.items() if size < 0}
+    histogram = {size: n for size, n in counts.items() if size > 0}
+    if histogram and shorts:
+        histogram[1] = -(-sum(length * n for length, n in shorts.items()) // STEP)
+    table = slots(poured(plan(histogram, room), shorts, room, capacity))
     kept = [c for c in cut.columns if c not in ("row_id", "class")]
     if not table:
         nowhere = F.lit(None).cast("long")
         return cut.select(*kept, nowhere.alias("sequence_id"), nowhere.alias("offset")).limit(0)
     names = "class int, first long, after long, copies long, sequence long, place long"
-    # At most a few rows per pattern, and about two patterns per class: bounded by the capacity.
+    # At most a few rows per pattern, and a few patterns per class: bounded by the capacity.
     assigned = F.broadcast(docs.sparkSession.createDataFrame(table, names))
     ranked = _ranked(cut, counts).alias("piece").join(
         assigned.alias("slot"),

@@ -190,6 +190,37 @@ def test_packing_of_any_capacity(capacity, spark):
     check_packing(packing.pack(docs, capacity=capacity).collect(), documents, capacity)
 
 
+@pytest.mark.parametrize("words", [0, 7, 19, 49])
+def test_packing_of_short_texts(words, spark):
+    """Sequences are as many as the tokens need at least, but for pieces that no longer fit."""
+    documents = {i: "a " * words for i in range(12_000)}
+    docs = spark.createDataFrame(list(documents.items()), "doc_id long, text string")
+    found = packing.pack(docs).collect()
+    sequences = Counter(r.sequence_id for r in found)
+    assert {r.length for r in found} == {words + 1} and len(found) == len(documents)
+    assert len(sequences) == -(-len(documents) // (4096 // (words + 1)))
+
+
+def test_short_texts_fill_what_long_ones_leave(spark):
+    draw = random.Random(3)
+    documents = {i: "a " * 2500 for i in range(60)} | {100 + i: "a " * draw.randint(0, 160) for i in range(1500)}
+    docs = spark.createDataFrame(list(documents.items()), "doc_id long, text string")
+    assert check_packing(packing.pack(docs).collect(), documents) < 0.03
+
+
+def test_poured_pieces_are_the_counted_ones():
+    draw = random.Random(5)
+    for _ in range(20):
+        longs = {size: draw.randint(1, 40) for size in draw.sample(range(9, 257), 30)}
+        shorts = {size: draw.randint(1, 3000) for size in draw.sample(range(1, 129), draw.randint(1, 128))}
+        patterns = packing.plan({**longs, 1: draw.randint(1, 3000)}, 256)
+        held = Counter()
+        for counts, times in packing.poured(patterns, shorts, 256, 4096):
+            assert sum((-size if size < 0 else 16 * size) * n for size, n in counts.items()) <= 4096
+            held.update({size: n * times for size, n in counts.items()})
+        assert held == Counter({**longs, **{-size: n for size, n in shorts.items()}})
+
+
 def test_plan_holds_the_histogram():
     draw = random.Random(2)
     for top in (3, 300):
