@@ -105,10 +105,11 @@ def _hashed(documents: list[list[bytes]]) -> Iterator[np.ndarray]:
         start = end
 
 
-def signature(hashes: np.ndarray) -> int:
-    """One 64-bit number for a set: equal sets have equal ones."""
-    total = _mix(hashes ^ _GOLD).sum(dtype=np.uint64) + np.uint64(len(hashes))
-    return int(_mix(np.array([total]))[0].view(np.int64))
+def signature(hashes: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit numbers for a set, the node and its check: equal sets have equal ones."""
+    totals = [_mix(hashes ^ _GOLD).sum(dtype=np.uint64), _mix(hashes + _STEP).sum(dtype=np.uint64)]
+    node, check = _mix(np.array(totals) + np.uint64(len(hashes))).view(np.int64).tolist()
+    return node, check
 
 
 def bands(n: int) -> list[int]:
@@ -189,28 +190,30 @@ def parity_bits(hashes: np.ndarray) -> np.ndarray:
 
 SKETCHES = pa.schema(
     [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("node", pa.int64())]
+    + [("check", pa.int64())]
     + [("keys", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64())), ("needed", pa.list_(pa.int64()))]
 )
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A set met before in the task goes out without its keys."""
-    seen: set[int] = set()
+    seen: set[tuple[int, int]] = set()
     for batch in batches:
         for start in range(0, len(batch), ROWS):
             part = batch.slice(start, ROWS)
-            out = {"n": [], "node": [], "keys": [], "bits": [], "needed": []}
+            out = {"n": [], "node": [], "check": [], "keys": [], "bits": [], "needed": []}
             for hashes in shingle_sets(part["text"].to_pylist()):
                 n = len(hashes)
-                node = signature(hashes) if n else None
+                name = signature(hashes) if n else (None, None)
                 out["n"].append(n)
-                out["node"].append(node)
-                new = n and node not in seen
+                out["node"].append(name[0])
+                out["check"].append(name[1])
+                new = n and name not in seen
                 out["keys"].append(np.concatenate([sketch_keys(hashes, b) for b in bands(n)]) if new else None)
                 out["bits"].append(parity_bits(hashes) if new else None)
                 enough = [needed(n, len(sampled(hashes, b)), b) for b in bands(n)] if new else None
                 out["needed"].append(enough)
-                seen.add(node)
+                seen.add(name)
             arrays = [part["doc_id"], part["text_hash"], *out.values()]
             typed = zip(arrays, SKETCHES, strict=True)
             typed = [pa.array(a, f.type) if isinstance(a, list) else a for a, f in typed]
@@ -368,22 +371,38 @@ def _common_links(shared: DataFrame, nodes: DataFrame, texts: DataFrame, links:
     return links.union(materialize(found.distinct(), "links"))
 
 
+def _sets(sketches: DataFrame) -> DataFrame:
+    return sketches.where("node IS NOT NULL").groupBy("node").agg(
+        F.max("n").alias("n"),
+        F.min(_row()).alias("row"),
+        F.first("keys", ignorenulls=True).alias("keys"),
+        F.first("bits", ignorenulls=True).alias("bits"),
+        F.first("needed", ignorenulls=True).alias("needed"),
+        F.min("check").alias("least"),
+        F.max("check").alias("greatest"),
+    )
+
+
+def _distinct_sets(sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sketches, and one row per set. Where sets share a node, all but that of the least check are renamed."""
+    nodes = materialize(_sets(sketches), "sets")
+    clashing = nodes.where("least <> greatest").select("node", "least")
+    # One yes or no: billions of sets share a node a few times, if at all.
+    if not clashing.isEmpty():
+        own = F.col("least").isNull() | (F.col("least") == F.col("check"))
+        renamed = F.when(own, F.col("node")).otherwise(F.xxhash64("node", "check"))
+        sketches = sketches.join(clashing, "node", "left").withColumn("node", renamed).drop("least")
+        sketches = materialize(sketches, "sketches")
+        nodes = materialize(_sets(sketches), "sets")
+    return sketches, nodes.drop("least", "greatest")
+
+
 def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """doc_id, text_hash, n and the component of each document, null for one without shingles."""
     named = _named(docs, id_column, text_column)
-    schema = "doc_id long, text_hash long, n long, node long, keys array<long>, bits array<long>, needed array<long>"
-    sketches = materialize(named.mapInArrow(_sketched, schema), "sketches")
-    sets = sketches.where("node IS NOT NULL")
-    nodes = materialize(
-        sets.groupBy("node").agg(
-            F.max("n").alias("n"),
-            F.min(_row()).alias("row"),
-            F.first("keys", ignorenulls=True).alias("keys"),
-            F.first("bits", ignorenulls=True).alias("bits"),
-            F.first("needed", ignorenulls=True).alias("needed"),
-        ),
-        "sets",
-    )
+    schema = "doc_id long, text_hash long, n long, node long, check long"
+    schema += ", keys array<long>, bits array<long>, needed array<long>"
+    sketches, nodes = _distinct_sets(materialize(named.mapInArrow(_sketched, schema), "sketches"))
     keyed = nodes.select("node", F.explode_outer("keys").alias("key"))
     counted = keyed.groupBy("key").agg(F.count("*").alias("sets"))
     shared = materialize(counted.where("sets > 1"), "shared-keys")

@@ -162,7 +162,8 @@ def search(
     ties go to the smaller vec_id. Rows with a null id, a null vector, or a null or non-finite
     component take no part. A result's score that leaves a long is an error. Missing trailing components count as zero, so
     an empty vector scores 0. Rows that repeat an id are separate candidates and separate queries.
-    Fewer than k candidates are all returned; an empty table gives an empty result.
+    Fewer than k candidates are all returned; an empty table gives an empty result. Other columns are
+    not read, whatever their names.
     """
     usable = vectors.where(_usable(F.col(vector_column)) & F.col(id_column).isNotNull())
     rows = materialize(

@@ -93,6 +93,16 @@ def test_token_counts_equal_the_library(texts):
     assert merges.count(some) == [len(e.ids) for e in tokenizer.encode_batch(some, add_special_tokens=False)]
 
 
+def test_token_count_query_equals_the_library(spark, sf_small, texts):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(token_counts.VOCABULARY))
+    ids = list(texts)
+    encoded = tokenizer.encode_batch([texts[i] or "" for i in ids], add_special_tokens=False)
+    expected = {i: (len((texts[i] or "").encode()), len(e.ids), len(e.ids) > 512) for i, e in zip(ids, encoded)}
+    found = token_counts.query(spark, sf_small).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in found} == expected
+    assert {r.over_limit for r in found} == {True, False} and len(found) == len(texts)
+
+
 def test_packed_ids_equal_the_library(texts):
     path = public_tokenizers.path(packing.VOCABULARY)
     some = [*odd_texts(4000), *texts.values()]
@@ -306,6 +316,26 @@ def test_needed_keys_outnumber_what_a_linked_set_may_lack():
         assert sketched / 4 + 12 < jaccard_join.needed(1000 * sketched, sketched, 15) < sketched
 
 
+def test_sets_that_share_a_number_stay_apart(spark):
+    rows = [(1, 1, 9, 7, 50), (2, 2, 9, 7, 40), (3, 3, 9, 7, 50), (4, 4, 9, 8, 50), (5, 5, 0, None, None)]
+    names = "doc_id long, text_hash long, n long, node long, check long"
+    sketches = spark.createDataFrame(rows, names).withColumns(
+        {c: F.array("check").alias(c) for c in ("keys", "bits", "needed")}
+    )
+    renamed, nodes = jaccard_join._distinct_sets(sketches)
+    node = {r.doc_id: r.node for r in renamed.collect()}
+    assert (node[2], node[4], node[5]) == (7, 8, None)
+    assert node[1] == node[3] != 7
+    assert {(r.node, r["row"].doc_id, r["keys"][0]) for r in nodes.collect()} == {(7, 2, 40), (8, 4, 50), (node[1], 1, 50)}
+
+
+def test_set_numbers_do_not_depend_on_order():
+    hashes = next(jaccard_join.shingle_sets([" ".join(map(str, range(200)))]))
+    assert jaccard_join.signature(hashes) == jaccard_join.signature(hashes[::-1])
+    assert len(set(jaccard_join.signature(hashes))) == 2
+    assert not set(jaccard_join.signature(hashes)) & set(jaccard_join.signature(hashes[1:]))
+
+
 def test_parity_bits_bound_the_difference():
     draw = np.random.default_rng(3)
     for n in (1, 30, 3000):
@@ -438,6 +468,16 @@ def test_search_on_hard_vectors(spark):
     assert topk_search.search(vectors.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_search_passes_over_other_columns(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(5)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    names = ("rank", "score", "weights", "row_id", "query_id", "is_query", "queries", "candidates", "queries_block")
+    more = vectors.withColumns({name: F.lit("x") for name in names})
+    wanted = F.col("vec_id") == 0
+    assert sorted(topk_search.search(more, wanted).collect()) == sorted(topk_search.search(vectors, wanted).collect())
+    assert topk_search.search(more, wanted).count() == 4
+
+
 def test_search_takes_every_finite_vector(spark):
     rows = [(0, [1.0, 2.0]), (1, [2.0**30, -(2.0**22)]), (2, [2.0**50, 0.0]), (3, [0.0, 2.0**25 + 4]), (5, [-(2.0**60), 0.0])]
     rows += [(20, [2.0**21, 2.0**21 + 0.25]), (40, [0.0, 2.0**25]), (60, [float("inf"), 0.0])]
@@ -513,7 +553,9 @@ def test_secret_query(spark, sf_small, texts):
         spans = plain_spans(texts[row.doc_id])
         joined = ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
         assert row.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
-        assert row.spans == joined
+        # Spans that the tests of randomness add stand between these.
+        base = [s for s in row.spans.split(",") if s.split(":")[0] in ("assign", "access", "hex")]
+        assert ",".join(base) == joined
         counts = Counter(kind for _, _, kind in spans)
         assert (row.n_assign, row.n_access, row.n_hex) == (counts["assign"], counts["access"], counts["hex"])
 
