@@ -207,9 +207,10 @@ def judge_urls(
     host rule. Repeated rows are judged alike; input columns of the four names are replaced, all
     others pass through. An empty table gives an empty result, an empty rule list the default.
     """
-    made = parts(F.col(url_column))
-    named = {f"__{name}": value for name, value in made.items()}
-    urls = pages.withColumns(named).withColumns(
+    made = parts(F.col(f"`{url_column}`"))
+    named = [value.alias(f"__{name}") for name, value in made.items()]
+    # Input columns stand in one of their own, so that none has a name that is made here.
+    urls = pages.select(F.struct("*").alias("__page"), *named).withColumns(
         {
             "__host_path": F.concat("__host", "__path"),
             "__host_rest": F.concat("__host", "__rest"),
@@ -228,7 +229,7 @@ def judge_urls(
         "verdict": F.coalesce(F.col("__rule.action"), F.lit(default)),
     }
     rest = [c for c in pages.columns if c not in answers]
-    return judged.select(*[F.col(f"`{c}`") for c in rest], *[v.alias(k) for k, v in answers.items()])
+    return judged.select(*[F.col("__page").getField(c).alias(c) for c in rest], *[v.alias(k) for k, v in answers.items()])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -520,6 +520,19 @@ def test_urls(inline, spark, monkeypatch):
     assert {r.verdict for r in url_filter.judge_urls(pages, ()).collect()} == {"allow"}
 
 
+@pytest.mark.parametrize("inline", [url_filter.INLINE_RULES, 0])
+def test_urls_with_clashing_columns_and_of_great_length(inline, spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "INLINE_RULES", inline)
+    names = ["__host", "__path", "__rest", "__host_path", "__host_rest", "__tokens", "__rule", "__page", "token", "a.b"]
+    rows = [("http://a.net/" + "x/" * 200_000, 1), ("http://x.y/" + "q" * 400_000 + "/login", 2), (None, 3)]
+    pages = spark.createDataFrame(rows, "url string, page_id long").withColumns({n: F.lit(n) for n in names})
+    found = {r.page_id: r for r in url_filter.judge_urls(pages).collect()}
+    assert all([r[name] for name in names] == names for r in found.values())
+    assert [found[i].verdict for i in (1, 2, 3)] == ["block", "block", "allow"]
+    assert [found[i].rule for i in (1, 2, 3)] == ["net/", "^login^", None]
+    assert [found[i].url for i in (1, 2, 3)] == [url for url, _ in rows]
+
+
 def test_rules_are_indexed_by_their_rarest_token():
     rules = (url_filter.path_rule("block", "example.net/en/"), url_filter.Rule("r", "*x*", "block", 1))
     index = url_filter.index_rules(rules, {"example": 90, "net": 40, "en": 3})
