@@ -22,9 +22,15 @@ order, the rarest first, two linked sets share one of the first ones of both, as
 may lack and one more (in sampled bands by a tail bound that lets all changed shingles be the
 set's own rare ones). So a set with enough rare keys needs no frequent one, and any other set only
 as many of its frequent keys, the rarest of them, as it is short of. Sets with such a key are linked
-to one pivot per key. Those that are still outside a key's largest component are compared, in blocks
-and by parity bits first, with the sets of their band that share frequent keys; a set yields at most
-one link to each other component of a block.
+to one pivot per key. What links are left lie between components and have a set outside a key's
+largest component. Of the sets of keys that span components, all shingles are counted, those of one
+component dropped, and the others put in one order, the rarest first: the rarest that two linked
+sets share is among the first quarter (and one more) of both. If few sets hold it, they are listed
+and verified. If not, all that the two share is frequent, so each has enough frequent shingles for
+both sizes: sets are grouped by size and by the greatest size their frequent shingles allow a
+partner, and only groups that allow each other are compared, in blocks and by parity bits first; a
+set yields at most one link to each other component of a block. Pages that share a footer, too
+short to link them, meet no other page.
 """
 
 import functools
@@ -48,8 +54,11 @@ PER_BAND, WORDS = 32, 256
 FREQUENT = 32
 # Chance that a set with enough keys that are not frequent shares none of them with a linked one.
 LOST = 1e-12
-# Parity bits of the second sketch, and sets in a block of those that are compared directly.
-BITS, BLOCK_SETS = 2048, 4096
+# Parity bits of the second sketch.
+BITS = 2048
+# Sets, or characters of their texts, in a block of those that are compared directly, and classes
+# of sizes from one power of two to the next.
+BLOCK_SETS, BLOCK_CHARACTERS, CLASSES = 4096, 64_000_000, 8
 # Words tokenised and hashed at a time, and rows handed back together.
 BLOCK, ROWS = 200_000, 1024
 
@@ -312,12 +321,10 @@ def _compared(ones: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
     found = []
     if len(ones) and len(others):
         sets, bits = list(shingle_sets(others["text"].tolist())), np.stack(others["bits"].tolist()).view(np.uint64)
-        sizes, nodes, labels = (others[c].to_numpy() for c in ("n", "node", "component"))
-        for node, label, n, row, one in zip(
-            ones["node"], ones["component"], ones["n"], ones["bits"], shingle_sets(ones["text"].tolist()), strict=True
-        ):
-            fits = (labels != label) & (100 * np.minimum(sizes, n) >= PERCENT * np.maximum(sizes, n))
-            at = np.flatnonzero(fits)
+        sizes, reaches, nodes, labels = (others[c].to_numpy() for c in ("n", "reach", "node", "component"))
+        each = (ones[c] for c in ("node", "component", "n", "reach", "bits"))
+        for node, label, n, reach, row, one in zip(*each, shingle_sets(ones["text"].tolist()), strict=True):
+            at = np.flatnonzero((labels != label) & (sizes <= reach) & (reaches >= n))
             differing = np.bitwise_count(bits[at] ^ np.asarray(row).view(np.uint64)).sum(axis=1, dtype=np.int64)
             close = (100 + PERCENT) * differing <= (100 - PERCENT) * (sizes[at] + n)
             done = set()
@@ -328,22 +335,130 @@ def _compared(ones: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def _blocked(rows: DataFrame, name: str, blocks: dict[int, int], other: str, others: dict[int, int]) -> DataFrame:
-    """Each set in its block of its band, once for each block of the others in that band."""
-
-    def of_band(numbers):
-        return F.element_at(F.create_map(*[F.lit(v) for b, n in numbers.items() for v in (b, n)]), F.col("band"))
-
-    each = F.explode(F.sequence(F.lit(0), of_band(others) - 1))
-    placed = rows.withColumn(name, F.pmod(F.xxhash64("node"), of_band(blocks)).cast("int"))
-    made = placed.withColumn(other, each)
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles of each set, handed on when there are BLOCK of them."""
+    names = ["node", "component", "outside"]
+    for batch in batches:
+        held, start, size = [], 0, 0
+        for hashes in shingle_sets(batch["text"].to_pylist()):
+            held.append(hashes.view(np.int64))
+            size += len(hashes)
+            if size >= BLOCK or start + len(held) == len(batch):
+                columns = [batch[c].slice(start, len(held)) for c in names]
+                columns.append(pa.array(held, pa.list_(pa.int64())))
+                yield pa.RecordBatch.from_arrays(columns, [*names, "shingles"])
+                held, start, size = [], start + len(held), 0
+
+
+def _shared_shingles(sets: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """For each set the shingles that sets of other components hold too: how many of those are
+    frequent, and the others that may be the rarest it shares with a linked set.
+
+    Sets without enough shared shingles for a link are left out.
+    """
+    ones = sets.groupBy("node").agg(F.first("component").alias("component"), F.bool_or("outside").alias("outside"))
+    schema = "node long, component long, outside boolean, shingles array<long>"
+    whole = ones.join(texts, "node").mapInArrow(_shingled, schema)
+    each = whole.select("node", "component", "outside", F.explode_outer("shingles").alias("shingle"))
+    several = F.min("component") != F.max("component")
+    held = each.groupBy("shingle").agg(F.count("*").alias("sets"), several.alias("several"))
+    held = materialize(held.where("several").select("shingle", "sets"), "held-shingles")
+    rare = F.when(F.col("sets") <= FREQUENT, F.struct("sets", "shingle"))
+    counted = each.join(held, "shingle").groupBy("node", "component", "outside").agg(
+        F.count("*").alias("shared"),
+        F.count_if(F.col("sets") > FREQUENT).alias("frequent"),
+        F.sort_array(F.collect_list(rare)).alias("rare"),
+    )
+    # Places among the first shingles of the order that those of one component do not take.
+    places = F.floor(F.col("n") * (100 - PERCENT) / 100) + 1 - (F.col("n") - F.col("shared"))
+    counted = counted.join(nodes.select("node", "n"), "node").withColumn("places", places.cast("int"))
+    first = F.slice("rare", 1, F.col("places"))["shingle"].alias("rare")
+    kept = counted.where("places > 0").select("node", "component", "outside", "n", "frequent", first)
+    return materialize(kept, "shared-shingles")
+
+
+def _rare_pairs(shared: DataFrame) -> DataFrame:
+    """Pairs of sets of different components that have one of their first rare shingles in common."""
+    member = F.struct("node", "component", "outside")
+    members = shared.select(member.alias("member"), F.explode("rare").alias("shingle"))
+    # At most FREQUENT members in a list.
+    lists = members.groupBy("shingle").agg(F.array_sort(F.collect_list("member")).alias("members"))
+    pairs = _pairs_within(lists.where(F.size("members") > 1).select("members").distinct())
+    pairs = pairs.where("a.component <> b.component AND (a.outside OR b.outside)")
+    return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+
+
+def _meetings(groups: list) -> list[tuple[int, int, int, int, int]]:
+    """Band, group, its blocks of sets outside, group, its blocks: the groups that allow each other."""
+
+    def blocks(sets, characters):
+        return max(-(-sets // BLOCK_SETS), -(-characters // BLOCK_CHARACTERS), 1)
+
+    by_band: dict[int, list] = {}
+    for group in groups:
+        by_band.setdefault(group["band"], []).append(group)
+    return [
+        (band, a["group"], blocks(a["outside"], a["outside_characters"]), b["group"], blocks(b["all"], b["characters"]))
+        for band, members in by_band.items()
+        for a in members
+        for b in members
+        if a["outside"] and a["least"] <= b["reach"] and b["least"] <= a["reach"]
+    ]
+
+
+def _reach() -> Column:
+    """The greatest size that a set's frequent shingles allow a linked one, if all they share is frequent."""
+    return F.floor(F.col("frequent") * (100 + PERCENT) / PERCENT) - F.col("n")
+
+
+def _met(rows: DataFrame, meetings: DataFrame, own: str, other: str) -> DataFrame:
+    """Each set in its block, once for each block that its group's meet."""
+    named = meetings.withColumn("group", F.col(f"{own}_group"))
+    placed = rows.join(F.broadcast(named), ["band", "group"])
+    block = F.pmod(F.xxhash64("node"), F.col(f"{own}_blocks")).cast("int")
+    each = F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1))
+    placed = placed.withColumn(own, block).withColumn(other, each)
+    groups = ["band", "one_group", "other_group", "one", "other"]
+    kept = placed.select(*groups, "node", "component", "n", "reach", "bits", "text")
     # Columns of their own, since the two sides of a cogroup come from the same sets.
-    return made.toDF(*made.columns)
+    return kept.toDF(*kept.columns)
+
+
+def _frequent_links(sets: DataFrame, shared: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """Links of sets that may have nothing but frequent shingles in common."""
+    able = shared.select("node", "n", _reach().alias("reach"))
+    able = able.where(100 * F.col("reach") >= PERCENT * F.col("n"))
+    rows = sets.join(able, "node").join(nodes.select("node", "bits"), "node").join(texts, "node")
+    step = F.greatest(F.lit(1), F.floor(F.pow(F.lit(2), F.col("band")) / CLASSES)).cast("long")
+    classes = [F.floor(F.col(c) / step).cast("int") for c in ("n", "reach")]
+    # Sizes in a band go up to 8 / 3 of its least, reaches to 4 / 3 of a size.
+    rows = materialize(rows.withColumn("group", classes[0] * 64 * CLASSES + classes[1]), "compared-sets")
+    # Some 25 classes of sizes and 30 of reaches in each of at most 64 bands.
+    characters = F.length("text")
+    groups = rows.groupBy("band", "group").agg(
+        F.count("*").alias("all"),
+        F.count_if("outside").alias("outside"),
+        F.sum(characters).alias("characters"),
+        F.sum(F.when(F.col("outside"), characters).otherwise(0)).alias("outside_characters"),
+        F.min("n").alias("least"),
+        F.max("reach").alias("reach"),
+    )
+    meetings = _meetings(groups.collect())
+    if not meetings:
+        return None
+    schema = "band int, one_group int, one_blocks int, other_group int, other_blocks int"
+    meetings = rows.sparkSession.createDataFrame(meetings, schema)
+    keys = ["band", "one_group", "other_group", "one", "other"]
+    ones = _met(rows.where("outside"), meetings, "one", "other").groupBy(*keys)
+    others = _met(rows, meetings, "other", "one").groupBy(*keys)
+    found = ones.cogroup(others).applyInPandas(_compared, "a long, b long")
+    return materialize(found.distinct(), "links")
 
 
 def _common_links(shared: DataFrame, nodes: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
     """Links among sets that share frequent keys (`shared`: key, band, node), added to `links`."""
-    pivots = shared.groupBy("key").agg(F.min("node").alias("a"))
+    # What is aggregated by a key is stored before it is joined, so that AQE can split a hot key.
+    pivots = materialize(shared.groupBy("key").agg(F.min("node").alias("a")), "pivots")
     pairs = shared.join(pivots, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
     links = links.union(_linked(_near(pairs, nodes), texts))
 
@@ -353,22 +468,15 @@ def _common_links(shared: DataFrame, nodes: DataFrame, texts: DataFrame, links:
     main = sizes.groupBy("key").agg(
         F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("kinds")
     )
-    mixed = labelled.join(main.where("kinds > 1"), "key")
+    mixed = labelled.join(materialize(main.where("kinds > 1").drop("kinds"), "mixed-keys"), "key")
     outside = F.bool_or(F.col("component") != F.col("main")).alias("outside")
-    sets = mixed.groupBy("node", "band", "component").agg(outside)
-    sets = materialize(sets, "outside-sets")
-    # Counts per band, of which there are at most 64.
-    counts = sets.groupBy("band").agg(F.count("*").alias("all"), F.count_if("outside").alias("outside")).collect()
-    blocks = {r["band"]: -(-r["all"] // BLOCK_SETS) for r in counts}
-    outside = {r["band"]: -(-r["outside"] // BLOCK_SETS) for r in counts}
-    if not counts:
+    sets = materialize(mixed.groupBy("node", "band", "component").agg(outside), "outside-sets")
+    if sets.isEmpty():
         return links
-    full = sets.join(nodes.select("node", "n", "bits"), "node").join(texts, "node")
-    ones = _blocked(full.where("outside"), "one", outside, "other", blocks)
-    others = _blocked(full, "other", blocks, "one", outside)
-    groups = ["band", "one", "other"]
-    found = ones.groupBy(*groups).cogroup(others.groupBy(*groups)).applyInPandas(_compared, "a long, b long")
-    return links.union(materialize(found.distinct(), "links"))
+    held = _shared_shingles(sets, nodes, texts)
+    links = links.union(_linked(_near(_rare_pairs(held), nodes), texts))
+    further = _frequent_links(sets, held, nodes, texts)
+    return links if further is None else links.union(further)
 
 
 def _sets(sketches: DataFrame) -> DataFrame:

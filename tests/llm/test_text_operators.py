@@ -310,6 +310,50 @@ def test_jaccard_join_of_families_with_appended_text(spark):
     assert found == brute_components(documents)
 
 
+@pytest.mark.parametrize("blocks", [16, 4096])
+def test_jaccard_join_of_pages_with_shared_parts(blocks, spark, monkeypatch):
+    """Texts of frequent parts, rare words or both, whose links none of a key's pivots gives."""
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 3)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", blocks)
+    draw, documents = random.Random(11), {}
+    parts = [[f"p{k}x{i}" for i in range(size)] for k, size in enumerate((12, 12, 15, 20, 24, 30, 60))]
+    few = [[f"r{k}x{i}" for i in range(6)] for k in range(12)]
+    for i in range(260):
+        own = [f"o{i}x{k}" for k in range(draw.choice((0, 0, 2, 4, 9)))]
+        chosen = draw.sample(parts, draw.choice((1, 2, 3)))
+        documents[i] = " ".join([w for p in chosen for w in p] + draw.choice([*few, [], []]) + own)
+    docs = spark.createDataFrame(list(documents.items()), "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join_near(docs).collect()}
+    assert found == brute_components(documents)
+
+
+def test_pages_of_one_footer_meet_no_other_page(spark, monkeypatch):
+    """22 of 26 words shared: similarity 0.69, all keys of the footer frequent, no set compared."""
+    held = []
+
+    def meetings(groups, made=jaccard_join._meetings):
+        held.append((len(groups), made(groups)))
+        return held[-1][1]
+
+    monkeypatch.setattr(jaccard_join, "_meetings", meetings)
+    footer = [f"f{i}" for i in range(22)]
+    text = F.concat_ws(" ", *[F.concat(F.lit(f"o{k}x"), "doc_id") for k in range(4)], F.lit(" ".join(footer)))
+    found = jaccard_join.join_near(spark.range(5000).select(F.col("id").alias("doc_id"), text.alias("text")))
+    assert found.where("n_shingles <> 22 OR component_id <> doc_id").isEmpty()
+    assert found.count() == 5000
+    assert held == [(1, [])]
+
+
+def test_groups_meet_where_both_sizes_allow_it():
+    def group(name, least, reach, outside=1):
+        sizes = {"all": 9000, "outside": outside, "characters": 10, "outside_characters": 10}
+        return {"band": 4, "group": name, "least": least, "reach": reach, **sizes}
+
+    found = jaccard_join._meetings([group(1, 20, 26), group(2, 25, 21), group(3, 24, 23, 0)])
+    # 2 and 3 are too large for 2, and 3 has no set outside.
+    assert found == [(4, 1, 1, 1, 3), (4, 1, 1, 2, 3), (4, 1, 1, 3, 3), (4, 2, 1, 1, 3)]
+
+
 def test_needed_keys_outnumber_what_a_linked_set_may_lack():
     assert [jaccard_join.needed(n, n, n.bit_length() - 1) for n in (1, 3, 60, 63)] == [1, 2, 21, 22]
     for sketched in (32, 48, 64):
