@@ -514,23 +514,27 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     keyed = nodes.select("node", F.explode_outer("keys").alias("key"))
     counted = keyed.groupBy("key").agg(F.count("*").alias("sets"))
     shared = materialize(counted.where("sets > 1"), "shared-keys")
-    members = keyed.join(shared, "key")
+    # Most keys are of one set. Those shared are stored with their sets, so that all keys move once more, not twice.
+    members = materialize(keyed.join(shared, "key"), "shared-members")
 
     # At most FREQUENT members in a list.
     listed = F.array_sort(F.collect_list("node")).alias("members")
     lists = members.where(F.col("sets") <= FREQUENT).groupBy("key").agg(listed)
     pairs = _near(_pairs_within(lists.select("members").distinct()), nodes)
 
-    frequent = keyed.join(shared.where(F.col("sets") > FREQUENT), "key")
+    frequent = members.where(F.col("sets") > FREQUENT)
     frequent = frequent.withColumn("band", F.col("key").bitwiseAND(63))
     # The rarest first, in an order all sets share; no more than a sketch has words.
     rarest = F.sort_array(F.collect_list(F.struct("sets", "key"))).alias("hot")
     hot = frequent.groupBy("node", "band").agg(rarest)
-    # The set's own band comes first, the one below second.
+    # The set's own band comes first, the one below second. Keys are counted before the join: numbers are shuffled.
     own = F.length(F.bin("n")) - 1
-    enough = F.element_at("needed", (own - F.col("band") + 1).cast("int")).cast("int")
-    others = F.size(F.filter("keys", lambda k: k.bitwiseAND(63) == F.col("band"))) - F.size("hot")
-    lacking = nodes.join(hot, "node").select("node", "band", "hot", (enough - others).alias("lacking"))
+    in_own = F.size(F.filter("keys", lambda k: k.bitwiseAND(63) == own)).alias("in_own")
+    held = nodes.select("node", "needed", own.alias("own"), in_own, F.size("keys").alias("in_all"))
+    enough = F.element_at("needed", (F.col("own") - F.col("band") + 1).cast("int")).cast("int")
+    in_band = F.when(F.col("band") == F.col("own"), F.col("in_own")).otherwise(F.col("in_all") - F.col("in_own"))
+    others = in_band - F.size("hot")
+    lacking = held.join(hot, "node").select("node", "band", "hot", (enough - others).alias("lacking"))
     used = F.slice("hot", 1, F.col("lacking"))["key"]
     common = lacking.where("lacking > 0").select("node", "band", F.explode(used).alias("key"))
     common = materialize(common.select("key", "band", "node"), "common")

@@ -310,6 +310,25 @@ def test_jaccard_join_of_families_with_appended_text(spark):
     assert found == brute_components(documents)
 
 
+def test_jaccard_join_moves_all_keys_once(spark, monkeypatch):
+    """Lists of keys are opened to count them and to find those shared, and go through no other step."""
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 3)
+    plans, made = {}, jaccard_join.materialize
+
+    def spied(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString())
+        return made(df, name)
+
+    monkeypatch.setattr(jaccard_join, "materialize", spied)
+    text = F.concat_ws(" ", *[F.concat(F.lit(f"w{i}-"), F.expr(f"id div {4 if i < 20 else 1}")) for i in range(30)])
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), text.alias("text"))
+    assert jaccard_join.join_near(docs).count() == 40
+    assert [name for name, plan in plans.items() if "explode(keys" in plan] == ["shared-keys", "shared-members"]
+    # The lists end in a projection to their lengths, below the join with the frequent keys.
+    join = plans["common"].index("Join Inner")
+    assert "keys#" not in plans["common"][:join]
+
+
 @pytest.mark.parametrize("blocks", [16, 4096])
 def test_jaccard_join_of_pages_with_shared_parts(blocks, spark, monkeypatch):
     """Texts of frequent parts, rare words or both, whose links none of a key's pivots gives."""
