@@ -6,6 +6,26 @@ from pyspark.sql import functions as F
 from millrace import vocab
 
 SAMPLES = 5
+# Rows read before a profile to bound its samples.
+BOUND_ROWS = 500
+
+
+def _sample_bounds(cells: DataFrame) -> DataFrame:
+    """(column, bound): no sample of the column is greater; NULL where nothing is known.
+
+    The fifth smallest of any of a column's values is no less than that of all. At most BOUND_ROWS rows
+    are taken, from the first partition that has them.
+    """
+    rows = cells.limit(BOUND_ROWS).collect()
+    smallest = {c: sorted({r[c] for r in rows if r[c] is not None})[:SAMPLES] for c in cells.columns}
+    bounds = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.lit(values[-1] if len(values) == SAMPLES else None).cast("string").alias("bound"),
+        )
+        for c, values in smallest.items()
+    ]
+    return cells.sparkSession.range(1).select(F.inline(F.array(*bounds)))
 
 
 def profile(df: DataFrame, exclude=vocab.LINEAGE_COLUMNS) -> DataFrame:
@@ -14,7 +34,7 @@ def profile(df: DataFrame, exclude=vocab.LINEAGE_COLUMNS) -> DataFrame:
     Columns are turned into (column, value) rows and counted per pair first, with map-side
     combining, so the shuffle carries distinct values only and a value holding a third of
     the rows is one row per input partition. Counts and samples read the same shuffle.
-    Samples are the five smallest distinct values.
+    Samples are the five smallest distinct values; only values up to a bound are sorted for them.
     """
     columns = [c for c in df.columns if c not in exclude]
     cells = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
@@ -34,7 +54,10 @@ def profile(df: DataFrame, exclude=vocab.LINEAGE_COLUMNS) -> DataFrame:
     # Takes the counts along and sorts NULL last instead of dropping it, to read the same
     # shuffle as `stats`.
     smallest = Window.partitionBy("column").orderBy(F.col("value").asc_nulls_last())
-    placed = counted.withColumn("place", F.row_number().over(smallest))
+    bounds = F.broadcast(_sample_bounds(cells))
+    low = F.coalesce(F.col("value") <= F.col("bound"), F.col("bound").isNull())
+    candidates = counted.join(bounds, "column").where(low).drop("bound")
+    placed = candidates.withColumn("place", F.row_number().over(smallest))
     kept = F.sort_array(F.collect_list(F.struct("value", "n")))
     samples = (
         placed.where(F.col("place") <= SAMPLES)

@@ -1,5 +1,7 @@
-from millrace.operators.profile import approximate_profile, profile, profile_all
-from conftest import plan
+from pyspark.sql import functions as F
+
+from millrace.operators.profile import BOUND_ROWS, approximate_profile, profile, profile_all
+from conftest import final_plan, plan
 from millrace.sources import legacy_views
 
 
@@ -53,6 +55,25 @@ def test_counts_and_samples_share_one_shuffle(spark, sf_small):
     assert text.count("FileScan") == 1
 
 
+def test_samples_sort_only_values_up_to_a_bound(spark):
+    """The smallest values come last, beside columns of few values and of none in the rows read first."""
+    count = 4 * BOUND_ROWS
+    df = spark.range(count, numPartitions=1).select(
+        F.format_string("%06d", count - F.col("id")).alias("a"),
+        F.expr("IF(id % 3 = 0, NULL, id % 4)").cast("string").alias("b"),
+        F.expr(f"IF(id < {2 * BOUND_ROWS}, NULL, id % 7)").cast("string").alias("c"),
+        F.lit(None).cast("string").alias("d"),
+    )
+    got = by_column(profile(df))
+    assert got["a"][4:] == (count, [f"{i:06d}" for i in range(1, 6)])
+    assert got["b"][4:] == (4, ["0", "1", "2", "3"])
+    assert got["c"][4:] == (7, ["0", "1", "2", "3", "4"])
+    assert got["d"][1:] == (count, count, 100.0, 0, [])
+    # Below the first sort for the samples lies the bound.
+    text = final_plan(profile(df))
+    assert "bound#" in text[text.index("WindowGroupLimit") :]
+
+
 def test_profile_all_names_sources(spark, sf_small):
     got = profile_all(legacy_views.all_views(spark, sf_small)).collect()
     assert len(got) == 23
