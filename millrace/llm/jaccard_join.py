@@ -60,7 +60,9 @@ BITS = 2048
 # of sizes from one power of two to the next.
 BLOCK_SETS, BLOCK_CHARACTERS, CLASSES = 4096, 64_000_000, 8
 # Words tokenised and hashed at a time, and rows handed back together.
-BLOCK, ROWS = 200_000, 1024
+BLOCK, ROWS = 50_000, 256
+# Bits that mark the documents whose texts are needed: at most 2 ** 18 words of 64 in a broadcast.
+MARK_BITS = 24
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP, _GOLD = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
@@ -263,11 +265,28 @@ def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return materialize(found.select("a", "b"), "near-pairs")
 
 
+def _marked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`rows` and `marked`: true where doc_id and text_hash are in `wanted`, and at random for others.
+
+    Others are marked with a chance of at most the number of wanted ones over 2 ** MARK_BITS. A join
+    with those marked is the join with all rows, but does not shuffle and sort the texts of the rest.
+    """
+    place = F.shiftrightunsigned(F.xxhash64("doc_id", "text_hash"), 64 - MARK_BITS)
+    word, bit = F.shiftright(place, 6).alias("word"), place.bitwiseAND(63).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    words = wanted.groupBy(word).agg(F.bit_or(one).alias("marks"))
+    found = rows.withColumn("word", word).join(F.broadcast(words), "word", "left")
+    marked = F.coalesce(F.getbit("marks", bit) == 1, F.lit(False))
+    return found.withColumn("marked", marked).drop("word", "marks")
+
+
 def _texts(named: DataFrame, nodes: DataFrame, involved: DataFrame) -> DataFrame:
     """(node, text): for each involved set the text of its first document."""
     rows = nodes.join(involved.distinct(), "node").select("node", "row.doc_id", "row.text_hash")
+    rows = materialize(rows, "set-rows")
     same = F.col("r.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("r.text_hash") == F.col("t.text_hash"))
-    found = rows.alias("r").join(named.alias("t"), same).groupBy("node").agg(F.first("text").alias("text"))
+    marked = _marked(named, rows).where("marked")
+    found = rows.alias("r").join(marked.alias("t"), same).groupBy("node").agg(F.first("text").alias("text"))
     return materialize(found, "set-texts")
 
 
@@ -285,12 +304,14 @@ def _are_linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 def _tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        linked, last, set_a = [], None, None
-        for a, text_a, text_b in zip(*(batch[c].to_pylist() for c in ("a", "text_a", "text_b")), strict=True):
-            if set_a is None or a != last:
-                last, set_a = a, next(shingle_sets([text_a]))
-            linked.append(_are_linked(set_a, next(shingle_sets([text_b]))))
-        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(linked, pa.bool_())], ["a", "b", "linked"])
+        for start in range(0, len(batch), ROWS):
+            part, linked, last, set_a = batch.slice(start, ROWS), [], None, None
+            for a, text_a, text_b in zip(*(part[c].to_pylist() for c in ("a", "text_a", "text_b")), strict=True):
+                if set_a is None or a != last:
+                    last, set_a = a, next(shingle_sets([text_a]))
+                linked.append(_are_linked(set_a, next(shingle_sets([text_b]))))
+            arrays = [part["a"], part["b"], pa.array(linked, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "linked"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -574,11 +595,13 @@ def drop_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     first = grouped.groupBy("component").agg(F.min(place).alias("first"))
     gone = grouped.join(first, "component").where(~place.eqNullSafe(F.col("first")))
-    gone = gone.select("doc_id", "text_hash").distinct()
+    gone = materialize(gone.select("doc_id", "text_hash").distinct(), "gone")
     id_value, text_hash = F.col(id_column).cast("long"), F.xxhash64(F.col(text_column))
     rows = docs.select(F.struct("*").alias("document"), id_value.alias("doc_id"), text_hash.alias("text_hash"))
+    rows = _marked(rows, gone)
     same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.text_hash") == F.col("g.text_hash"))
-    return rows.alias("d").join(gone.alias("g"), same, "left_anti").select("document.*")
+    kept = rows.where("marked").alias("d").join(gone.alias("g"), same, "left_anti")
+    return kept.select("document.*").union(rows.where("NOT marked").select("document.*"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -409,6 +409,38 @@ def test_parity_bits_bound_the_difference():
         assert np.bitwise_count(x ^ y).sum() <= differing
 
 
+def test_marks_cover_all_that_is_wanted_and_little_else(spark, monkeypatch):
+    """Rows without an id too, and with so few bits that all marks are taken."""
+    doc_id = F.when(F.col("id") % 10 > 0, F.col("id")).alias("doc_id")
+    rows = spark.range(20000).select("id", doc_id, F.xxhash64(F.col("id") % 15000).alias("text_hash"))
+    wanted = rows.where("id % 100 IN (0, 1)").select("doc_id", "text_hash")
+    for bits, most in ((24, 500), (6, 20000)):
+        monkeypatch.setattr(jaccard_join, "MARK_BITS", bits)
+        found = jaccard_join._marked(rows, wanted)
+        assert found.columns == [*rows.columns, "marked"] and found.count() == 20000
+        marked = {r.id for r in found.where("marked").collect()}
+        assert {i for i in range(20000) if i % 100 < 2} <= marked and len(marked) <= most
+        assert jaccard_join._marked(rows, wanted.limit(0)).where("marked").isEmpty()
+
+
+def test_near_copies_sort_no_text_that_is_in_no_pair(spark, monkeypatch):
+    """Only texts of sets that are compared, and of documents that go, meet others in a join."""
+    made = {}
+
+    def spied(df, name, write=jaccard_join.materialize):
+        made[name] = df
+        return write(df, name)
+
+    monkeypatch.setattr(jaccard_join, "materialize", spied)
+    words = [F.concat(F.lit(f"w{i}-"), F.expr("greatest(id - 1, 0)")) for i in range(30)]
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *words, F.col("id")).alias("text"))
+    kept = jaccard_join.drop_near(docs)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, *range(2, 3000)]
+    for df in (made["set-texts"], kept):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "rightHint=(strategy=broadcast)" in plan and "getbit" in plan
+
+
 def test_near_copies_on_hard_rows(hard):
     found = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in jaccard_join.join_near(hard).collect())
     assert found == [(0, 2, 5), (1, 0, 1), (2, 0, 2), (3, 0, 3), (5, 2, 5), (5, 2, 5), (6, 2, 5), (7, 1, 7), (8, 1, 8)]
